@@ -7,7 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.session import cut
+from weftlink.session import cut, ship
+
+__all__ = ["batches_for", "connected_components", "cut", "fold_of", "matrix", "ship", "table", "usable", "usual_length"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,27 @@ def batches_for(df: DataFrame, size: Column, target: int, least: int = 24) -> in
     return max(least, math.ceil(total / target))
 
 
+def usable(vector: str = "embedding") -> Column:
+    """A vector that takes part: not null, not empty, only finite components, not all zero."""
+    fine = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))  # NaN is larger than any number
+    return F.coalesce(F.col(vector).isNotNull() & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
+def usual_length(df: DataFrame, vector: str = "embedding") -> int:
+    """The commonest length of the usable vectors (ties: the shorter); 0 if there are none."""
+    row = df.where(usable(vector)).groupBy(F.size(vector).alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
+    return row["d"] if row else 0
+
+
+def matrix(column):
+    """An Arrow list column of equal lengths as a double matrix."""
+    import numpy as np
+
+    column = column.combine_chunks() if hasattr(column, "combine_chunks") else column
+    n = len(column)
+    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(n, -1) if n else np.zeros((0, 0))
+
+
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the undirected `edges` (a, b); component is the smallest node reachable.
 

@@ -6,15 +6,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weftlink.llm.ann import nearest
 from weftlink.llm.common import table
+from weftlink.llm.packing import pack_sequences
 from weftlink.llm.url_filter import filter_urls
+from weftlink.llm.vector_dedup import near_duplicates
+
+#: Where the public tokenizers' files are; never copied into the repository.
+PACKING_TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_sequences(table(spark, sf_dir, "documents"), tokenizer_path(PACKING_TOKENIZER))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_vector_search": op3_vector_search,
+        "op5_packing": op5_packing,
         "op8_url_filter": op8_url_filter,
+        "op9_vector_dedup": op9_vector_dedup,
     }

@@ -55,5 +55,26 @@ FROM own
 """
 
 
+_USABLE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
+
+OP3 = f"""
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE {_USABLE}),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+OP9 = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND {_USABLE}),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS node, vec_id AS root FROM v UNION SELECT l.b, r.root FROM reach r JOIN links l ON r.node = l.a),
+comp AS (SELECT node, min(root) AS component FROM reach GROUP BY 1),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(component, vec_id) AS component_id, vec_id = coalesce(component, vec_id) AS kept
+FROM embeddings LEFT JOIN comp ON node = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filter": OP8}
+    return {"op3_vector_search": OP3, "op8_url_filter": OP8, "op9_vector_dedup": OP9}
