@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +38,17 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut lineage: materialise `df` in the shared checkpoint folder, so that a lost executor costs no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so Python workers can import it wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_weftlink_shipped", False):
+        return
+    home = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="weftlink-")) / "weftlink_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(home.rglob("*.py")):
+            out.write(file, file.relative_to(home.parent))
+    sc.addPyFile(str(archive))
+    sc._weftlink_shipped = True
