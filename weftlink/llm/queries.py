@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from weftlink.llm.ann import nearest
 from weftlink.llm.common import table
 from weftlink.llm.packing import pack_sequences
+from weftlink.llm.suffix_dedup import remove_repeats
 from weftlink.llm.url_filter import filter_urls
 from weftlink.llm.vector_dedup import near_duplicates
 
@@ -26,6 +27,10 @@ def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_sequences(table(spark, sf_dir, "documents"), tokenizer_path(PACKING_TOKENIZER))
 
@@ -41,6 +46,7 @@ def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_vector_search": op3_vector_search,
+        "op4_repeated_passages": op4_repeated_passages,
         "op5_packing": op5_packing,
         "op8_url_filter": op8_url_filter,
         "op9_vector_dedup": op9_vector_dedup,
