@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -40,6 +41,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more; it learns of them from the garbage collectors."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so Python workers can import it wherever they run."""
     sc = spark.sparkContext
