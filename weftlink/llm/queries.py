@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weftlink.llm.ann import nearest
 from weftlink.llm.common import table
+from weftlink.llm.minhash_dedup import near_duplicates as near_documents
 from weftlink.llm.packing import pack_sequences
 from weftlink.llm.suffix_dedup import remove_repeats
 from weftlink.llm.url_filter import filter_urls
@@ -23,6 +24,10 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
@@ -45,6 +50,7 @@ def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_minhash_dedup": op1_minhash_dedup,
         "op3_vector_search": op3_vector_search,
         "op4_repeated_passages": op4_repeated_passages,
         "op5_packing": op5_packing,
