@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weftlink.llm.ann import nearest
 from weftlink.llm.common import table
+from weftlink.llm.license_scan import scan_licenses
 from weftlink.llm.minhash_dedup import near_duplicates as near_documents
 from weftlink.llm.packing import pack_sequences
+from weftlink.llm.quality import score_quality
 from weftlink.llm.suffix_dedup import remove_repeats
+from weftlink.llm.toxicity import score_toxicity
 from weftlink.llm.url_filter import filter_urls
 from weftlink.llm.vector_dedup import near_duplicates
 
@@ -28,6 +31,10 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
@@ -40,10 +47,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_sequences(table(spark, sf_dir, "documents"), tokenizer_path(PACKING_TOKENIZER))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -51,9 +66,12 @@ def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
+        "op2_quality": op2_quality,
         "op3_vector_search": op3_vector_search,
         "op4_repeated_passages": op4_repeated_passages,
         "op5_packing": op5_packing,
+        "op6_license_scan": op6_license_scan,
         "op8_url_filter": op8_url_filter,
         "op9_vector_dedup": op9_vector_dedup,
+        "op10_toxicity": op10_toxicity,
     }
