@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weftlink.session import cut, ship
 
-__all__ = ["batches_for", "connected_components", "cut", "fold_of", "matrix", "ship", "table", "usable", "usual_length"]
+__all__ = ["batches_for", "connected_components", "cut", "fold_of", "matrix", "runs_of", "ship", "table", "usable", "usual_length"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,17 @@ def matrix(column):
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(n, -1) if n else np.zeros((0, 0))
 
 
+def runs_of(offsets, size: int = 1 << 20):
+    """Consecutive documents (first, last + 1) of about `size` bytes together, at least one each; bounds a worker's scratch memory."""
+    import numpy as np
+
+    first, docs = 0, len(offsets) - 1
+    while first < docs:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1)
+        yield first, last
+        first = last
+
+
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the undirected `edges` (a, b); component is the smallest node reachable.
 

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import batches_for, connected_components, cut, ship
+from weftlink.llm.common import batches_for, connected_components, cut, runs_of, ship
 from weftlink.session import release
 
 U64 = np.uint64
@@ -183,13 +183,19 @@ def sketches(docs: DataFrame, width: int, threshold: float, bands: int, rows: in
             if not batch.num_rows:
                 continue
             ids = batch.column(0).to_numpy()
-            doc, h, tf = counted(*shingles(*bytes_of(batch.column(1)), width))
+            data, offsets = bytes_of(batch.column(1))
+            parts = []
+            for i, j in runs_of(offsets):
+                d, x, n = counted(*shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width))
+                parts.append(((d + i).astype(np.int32), x, np.minimum(n, 65535).astype(np.uint16)))
+            doc, h, tf = (np.concatenate(x) for x in zip(*parts, strict=True))
+            del parts
             bucket = (h >> U64(48)) * U64(buckets) >> U64(16)
             out = []
             for to, rows in _split(bucket):  # within a bucket rows stay in document order
                 d = doc[rows]
                 first = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-                out.append((to, ids[d[first]].tobytes(), np.diff(np.append(first, len(d))).astype(np.uint32).tobytes(), six(h[rows]), b"", np.minimum(tf[rows], 65535).astype(np.uint16).tobytes(), b""))
+                out.append((to, ids[d[first]].tobytes(), np.diff(np.append(first, len(d))).astype(np.uint32).tobytes(), six(h[rows]), b"", tf[rows].tobytes(), b""))
             whole = np.bincount(doc, weights=1 + np.log(tf), minlength=len(ids))
             some = np.flatnonzero(whole > 0)
             for to, rows in _split(group_of(ids[some])):

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import cut, fold_of, ship
+from weftlink.llm.common import cut, fold_of, runs_of, ship
 from weftlink.llm.minhash_dedup import _BASE, _BYTE, mix
 from weftlink.llm.suffix_dedup import bytes_of
 
@@ -36,6 +36,11 @@ STATISTICS = 13
 
 def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """One row of statistics per document of the concatenated texts."""
+    parts = [_statistics(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in runs_of(offsets)]
+    return np.concatenate(parts) if parts else np.zeros((0, STATISTICS))
+
+
+def _statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     docs = len(offsets) - 1
     n = np.diff(offsets)
     out = np.zeros((docs, STATISTICS))
