@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weftlink.llm.ann import nearest
+from weftlink.llm.bpe import round_trip
 from weftlink.llm.common import table
 from weftlink.llm.license_scan import scan_licenses
 from weftlink.llm.minhash_dedup import near_duplicates as near_documents
@@ -19,6 +20,7 @@ from weftlink.llm.vector_dedup import near_duplicates
 
 #: Where the public tokenizers' files are; never copied into the repository.
 PACKING_TOKENIZER = "byte_bpe_50k.json"
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def tokenizer_path(name: str) -> str:
@@ -51,6 +53,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer_path(BPE_RANKS))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
@@ -71,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_repeated_passages": op4_repeated_passages,
         "op5_packing": op5_packing,
         "op6_license_scan": op6_license_scan,
+        "op7_byte_bpe": op7_byte_bpe,
         "op8_url_filter": op8_url_filter,
         "op9_vector_dedup": op9_vector_dedup,
         "op10_toxicity": op10_toxicity,
