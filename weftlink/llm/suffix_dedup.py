@@ -206,7 +206,7 @@ def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 ASK = "to int, back int, lead binary, gram binary, around binary, more binary"
-TELL = "batch int, kind int, keys binary, codes binary"
+TELL = "batch int, kind int, bucket int, keys binary, codes binary"
 ALL, SOME = 1, 2  # all windows of this anchor repeat; some may
 
 
@@ -239,50 +239,41 @@ def remove_repeats(docs: DataFrame, window: int = 200, gram: int = 64, keep: Seq
         kinds = np.bincount(group, weights=np.concatenate([[1], np.diff(kind)]) if len(kind) else None, minlength=1)[group]
         code = np.where(total, ALL, 0) + np.where(kinds > 1, SOME, 0)
         code[(kinds == 1) & ~total] = 0
-        return _tell(back, mix(h * U64(3) + around), code.astype(np.uint8), 1)
+        return _tell(back, mix(h * U64(3) + around), code.astype(np.uint8))
 
     def ask_windows(docs_table, told):
-        code_of = _codes(told, 1)
-        batch = docs_table.column("batch")[0].as_py() if docs_table.num_rows else 0
         data, offsets = bytes_of(docs_table.column("data"))
-        lead, key, twice = [], [], []
-        for s in slices(data, offsets, window, gram):
-            code = code_of(s.key)
-            some = np.flatnonzero(code & SOME)
-            first, more = _distinct(s.key[some])
-            owner, starts = s.windows(some[first])
-            a, b = s.window_keys(starts)
-            lead.append(a), key.append(b), twice.append((more | (code[some[first]] & ALL > 0))[owner])
-        if not key:
-            lead, key, twice = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
-        key, twice = np.concatenate(key), np.concatenate(twice)
-        u, first, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        more = (count > 1) | (np.bincount(inverse, weights=twice, minlength=len(u)) > 0)
-        lead = np.concatenate(lead)[first]
-        return _send(bucket_of(lead), (lead, u, None, more), batch, ("lead", "gram", "around", "more"))
+        _, _, settled, lead, key = windows_of(data, offsets, _codes(told), window, gram)
+        (lead, key, count), inverse = _runs(lead, key)
+        more = (count > 1) | (np.bincount(inverse, weights=settled, minlength=len(key)) > 0)
+        batch = docs_table.column("batch")[0].as_py() if docs_table.num_rows else 0
+        return _send(bucket_of(lead), (_differences(lead, bucket_of(lead)), key, None, more), batch, ("lead", "gram", "around", "more"))
 
     def answer_windows(table):
-        back, lead, key, more = _gather(table, (("lead", np.uint64), ("gram", np.uint64), ("more", np.bool_)))
+        import pyarrow as pa
+
+        _, key, more = _gather(table, (("gram", np.uint64), ("more", np.bool_)))
+        lead = np.concatenate([np.cumsum(np.frombuffer(x, np.uint64), dtype=np.uint64) for x in table.column("lead").to_pylist()])
         order = multikey_order(lead, key)
-        back, lead, key, more = (x[order] for x in (back, lead, key, more))
-        kind = _firsts(lead, key)
-        again = np.bincount(kind, weights=1 + more, minlength=1)[kind] > 1
-        return _tell(back, key, np.where(again, ALL, 0).astype(np.uint8), 2)
+        run = _firsts(lead[order], key[order])
+        again = np.empty(len(key), bool)
+        again[order] = np.bincount(run, weights=1 + more[order], minlength=1)[run] > 1
+        ends = np.cumsum([len(x) for x in table.column("more").to_pylist()])
+        bits = [np.packbits(part).tobytes() for part in np.split(again, ends[:-1])]
+        n = table.num_rows
+        return pa.table(
+            {"batch": table.column("back"), "kind": pa.array([2] * n, pa.int32()), "bucket": table.column("to"), "keys": pa.array([b""] * n, pa.binary()), "codes": pa.array(bits, pa.binary())}
+        )
 
     def finish(docs_table, told):
         import pyarrow as pa
 
-        code_of, repeats = _codes(told, 1), _codes(told, 2)
         data, offsets = bytes_of(docs_table.column("data"))
+        sure, starts, settled, lead, key = windows_of(data, offsets, _codes(told), window, gram)
+        (lead, key, _), inverse = _runs(lead, key)
+        repeats = _bits(told, bucket_of(lead))
         covered = np.zeros(len(data) + 1, np.int32)
-        for s in slices(data, offsets, window, gram):
-            code = code_of(s.key)
-            hit = np.flatnonzero(code)
-            owner, starts = s.windows(hit)
-            gone = code[hit][owner] & ALL > 0
-            ask_ = np.flatnonzero(~gone)
-            gone[ask_] = repeats(s.window_keys(starts[ask_])[1]) > 0
-            at = starts[gone] + s.lo
+        for at in (sure, starts[settled | repeats[inverse]]):
             np.add.at(covered, at, 1)
             np.add.at(covered, at + window, -1)
         lost = np.cumsum(covered[:-1]) > 0
@@ -310,7 +301,51 @@ def remove_repeats(docs: DataFrame, window: int = 200, gram: int = 64, keep: Seq
     return by(base).cogroup(by(told.union(again))).applyInArrow(finish, schema)
 
 
-def _tell(back: np.ndarray, key: np.ndarray, code: np.ndarray, kind: int):
+def windows_of(data: np.ndarray, offsets: np.ndarray, code_of, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(starts of windows that repeat for sure and need not be asked; and of those to ask: starts, whether they repeat for sure, leading bytes, hashes)."""
+    sure, starts, settled, lead, key = [], [], [], [], []
+    for s in slices(data, offsets, window, gram):
+        code = code_of(s.key)
+        hit = np.flatnonzero(code)
+        owner, at = s.windows(hit)
+        some = code[hit][owner] & SOME > 0
+        sure.append(at[~some] + s.lo)
+        a, b = s.window_keys(at[some])
+        starts.append(at[some] + s.lo), settled.append(code[hit][owner[some]] & ALL > 0), lead.append(a), key.append(b)
+    if not sure:
+        return (*(np.zeros(0, np.int64),) * 2, np.zeros(0, bool), *(np.zeros(0, np.uint64),) * 2)
+    return tuple(np.concatenate(x) for x in (sure, starts, settled, lead, key))
+
+
+def _runs(lead: np.ndarray, key: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+    """Distinct (lead, key) in order with their counts, and of each row the index there."""
+    order = multikey_order(lead, key)
+    run = _firsts(lead[order], key[order])
+    first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.zeros(0, np.int64)
+    inverse = np.empty(len(run), np.int64)
+    inverse[order] = run
+    return (lead[order][first], key[order][first], np.diff(np.append(first, len(run)))), inverse
+
+
+def _differences(lead: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Sorted leading bytes as steps within each bucket, which compress well."""
+    steps = lead.copy()
+    steps[1:] -= lead[:-1]
+    new = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(lead) else np.zeros(0, np.int64)
+    steps[new] = lead[new]
+    return steps
+
+
+def _bits(told, bucket: np.ndarray) -> np.ndarray:
+    """The answers about windows, in the order in which they were asked: by bucket, then as sent."""
+    kinds, buckets, codes = (told.column(c).to_pylist() for c in ("kind", "bucket", "codes"))
+    by = {b: c for k, b, c in zip(kinds, buckets, codes, strict=True) if k == 2}
+    ids, counts = np.unique(bucket, return_counts=True)
+    parts = [np.unpackbits(np.frombuffer(by[int(b)], np.uint8), count=int(n)).astype(bool) for b, n in zip(ids, counts, strict=True)]
+    return np.concatenate(parts) if parts else np.zeros(0, bool)
+
+
+def _tell(back: np.ndarray, key: np.ndarray, code: np.ndarray):
     """Answers that say something, one row per asking batch."""
     import pyarrow as pa
 
@@ -322,16 +357,17 @@ def _tell(back: np.ndarray, key: np.ndarray, code: np.ndarray, kind: int):
     return pa.table(
         {
             "batch": pa.array(ids.astype(np.int32), pa.int32()),
-            "kind": pa.array(np.full(len(ids), kind, np.int32)),
+            "kind": pa.array(np.full(len(ids), 1, np.int32)),
+            "bucket": pa.array(np.zeros(len(ids), np.int32)),
             "keys": pa.array([key[some[i:j]].tobytes() for i, j in pieces], pa.binary()),
             "codes": pa.array([code[some[i:j]].tobytes() for i, j in pieces], pa.binary()),
         }
     )
 
 
-def _codes(told, kind: int):
-    """The answers of one kind as a function from keys to codes (0: no answer)."""
-    rows = [r for r, k in enumerate(told.column("kind").to_pylist()) if k == kind]
+def _codes(told):
+    """The answers about anchors as a function from keys to codes (0: no answer)."""
+    rows = [r for r, k in enumerate(told.column("kind").to_pylist()) if k == 1]
     keys, codes = told.column("keys"), told.column("codes")
     key = np.frombuffer(b"".join(keys[r].as_py() for r in rows), dtype=np.uint64)
     code = np.frombuffer(b"".join(codes[r].as_py() for r in rows), dtype=np.uint8)
