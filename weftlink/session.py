@@ -37,9 +37,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage: materialise `df` in the shared checkpoint folder, so that a lost executor costs no recomputation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: materialise `df` in the shared checkpoint folder, so that a lost executor costs no recomputation.
+
+    A checkpointed plan keeps the size estimates of the plan it came from. In iterations with joins those are multiplied
+    again and again, into numbers that take the planner minutes, so the rows are wrapped anew, without estimates; adaptive
+    execution sees the real sizes."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    done = df.checkpoint(eager=True)._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(done.queryExecution().toRdd(), done.schema(), False), spark)
 
 
 def release(spark: SparkSession) -> None:
