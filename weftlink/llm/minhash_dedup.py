@@ -10,9 +10,10 @@ near copies stay near however large their group is.
 2. A document's similarity to any other is at most its shared weight over its whole weight; below the threshold it can
    have no partner and is done, without loss. The others get weighted samples and band keys, and equal shingle
    multisets are folded into one representative.
-3. Band buckets propose pairs: first each document with the leader it meets in most bands, then every leader, then, only in
-   buckets that still hold different classes, all members against those outside the largest class. Pairs already in one
-   class are not asked again; every pair is verified by its weighted Jaccard similarity. Classes are connected components.
+3. Band buckets propose pairs: first each document with the leader it meets in most bands, then every leader (a bucket is led
+   by its member that meets most others in all bands), then, only in buckets that still hold different classes, the members
+   outside the largest class against all. Pairs already in one class are not asked again; every pair is verified by its
+   weighted Jaccard similarity. Classes are connected components.
 
 Edge cases: null and blank texts have no words and are classes of their own; a null doc_id is kept, alone; repeated rows
 of a doc_id are one document, reported on each row; an empty table gives no rows; other columns of the input are left out.
@@ -251,7 +252,7 @@ def sketches(docs: DataFrame, width: int, threshold: float, bands: int, rows: in
         again = np.concatenate([[False], (owner[1:] == owner[:-1]) & (h[1:] == h[:-1])]) if len(owner) else np.zeros(0, bool)  # a repeated row of one doc_id
         owner, h, w = owner[~again], h[~again], w[~again]
         who, starts = np.unique(owner, return_index=True)
-        ends = np.append(starts[1:], len(owner))
+        ends = np.append(starts[1:], len(owner))[: len(starts)]
         keys = sampler.bands_of(h, w, starts).view(np.int64) if len(who) else np.zeros((0, bands), np.int64)
         digest = np.zeros(len(who), np.uint64)
         if len(who):
@@ -297,29 +298,39 @@ def verify(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
 def classes(sketch: DataFrame, threshold: float) -> DataFrame:
     """node, component over the representatives of equal contents, for those that have a partner."""
     reps = cut(sketch.groupBy("content", "size").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
-    own = sketch.select("doc_id", "bands").join(reps, "doc_id", "left_semi").select("doc_id", F.posexplode("bands").alias("band", "key"))
-    met = cut(own.groupBy("band", "key").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).where("n > 1"))
-    seats = cut(own.join(met, ["band", "key"]).select("band", "key", "doc_id", "leader"))
-    led = seats.where("doc_id <> leader").groupBy("doc_id", "leader").agg(F.count("*").alias("n"))
-    first = led.groupBy("doc_id").agg(F.max_by("leader", F.struct("n", -F.col("leader"))).alias("leader"))
-    edges = cut(verify(first.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")), sketch, threshold))
-    asked = first.select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
+    own = cut(sketch.select("doc_id", "whole", "bands").join(reps, "doc_id", "left_semi"))
+    seats = own.select("doc_id", F.posexplode("bands").alias("band", "key"))
+    # a bucket's leader is the member that meets most others anywhere: the text that a family of near copies comes from
+    sizes = cut(seats.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"))
+    seats = cut(seats.join(sizes, ["band", "key"]))
+    degree = cut(seats.groupBy("doc_id").agg(F.sum("n").alias("degree")))
+    seats = cut(seats.join(degree, "doc_id").select("band", "key", "doc_id", "degree"))
+    leaders = cut(seats.groupBy("band", "key").agg(F.max_by("doc_id", F.struct("degree", -F.col("doc_id"))).alias("leader")))
+    met = cut(seats.join(leaders, ["band", "key"]).where("doc_id <> leader").groupBy("doc_id", "leader").agg(F.count("*").alias("n"), F.max("degree").alias("degree")))
+    first = met.groupBy("doc_id").agg(F.max_by("leader", F.struct("n", -F.col("leader"))).alias("leader"))
+    asked = cut(first.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")))
+    edges = cut(verify(asked, sketch, threshold))
     for turn in range(2):
         label = cut(connected_components(edges))
         named = lambda df, x: df.join(label.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))  # noqa: B023, E731
         if turn == 0:
-            pairs = seats.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
+            pairs = met.select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
             pairs = named(named(pairs, "a"), "b").where("ca <> cb").select("a", "b")
         else:
             held = cut(named(seats.select("band", "key", F.col("doc_id").alias("b")), "b"))
             share = held.groupBy("band", "key", "cb").agg(F.count("*").alias("n"))
-            split = share.groupBy("band", "key").agg(F.count("*").alias("m"), F.max_by("cb", F.struct("n", -F.col("cb"))).alias("main")).where("m > 1")
-            held = cut(held.join(split, ["band", "key"]))
-            few = held.where("cb <> main").select("band", "key", F.col("b").alias("a"), F.col("cb").alias("ca"))
-            pairs = few.join(held.select("band", "key", "b", "cb", "main"), ["band", "key"]).where("ca <> cb AND (cb = main OR a < b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        fresh = cut(pairs.join(asked, ["a", "b"], "left_anti"))
-        asked = asked.union(fresh)
+            split = cut(share.groupBy("band", "key").agg(F.count("*").alias("m"), F.max_by("cb", F.struct("n", -F.col("cb"))).alias("main")).where("m > 1"))
+            held = cut(held.join(split, ["band", "key"]).join(own.select(F.col("doc_id").alias("b"), F.col("whole").alias("wb"), F.col("bands").alias("bb")), "b"))
+            few = held.where("cb <> main").select("band", "key", F.col("b").alias("a"), F.col("cb").alias("ca"), F.col("wb").alias("wa"), F.col("bb").alias("ba"))
+            # a pair is met once, in its first common band; weights too far apart cannot be similar
+            once = F.array_position(F.zip_with("ba", "bb", lambda x, y: x == y), True) == F.col("band") + 1
+            near = F.least("wa", "wb") >= (threshold - 1e-6) * F.greatest("wa", "wb")
+            on = few.join(held, ["band", "key"]).where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))) & near & once)
+            pairs = on.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        fresh = cut(pairs.join(asked.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")), (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti"))
+        asked = cut(asked.union(fresh))
         edges = cut(edges.union(verify(fresh, sketch, threshold)))
+        release(sketch.sparkSession)
     return connected_components(edges)
 
 
