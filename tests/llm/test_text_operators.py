@@ -119,6 +119,26 @@ def test_classifiers_on_held_out_rows(spark, score, column):
     assert score(docs, labels.limit(0)).count() == 403
 
 
+def test_toxic_words_seen_once_count(spark):
+    docs, labels = labelled(spark)
+    extra = [(5000 + i, " ".join(f"once{i}x{j}" for j in range(20)), "x") for i in range(40)]
+    asked = [(6000 + i, " ".join(f"once{i}x{j}" for j in range(20)), "x") for i in range(40)] + [(7000 + i, " ".join(f"never{i}x{j}" for j in range(20)), "x") for i in range(40)]
+    docs = docs.union(spark.createDataFrame(extra + asked, DOCS))
+    labels = labels.union(spark.createDataFrame([(i, 1, 1) for i, _, _ in extra], "doc_id long, quality int, toxic int"))
+    score = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, labels).collect()}
+    counted = [i for i in range(40) if score[6000 + i] != score[7000 + i]]
+    assert len(counted) > 10 and all(score[6000 + i] > score[7000 + i] for i in counted)
+
+
+def test_civil_rows_are_those_below_the_threshold(spark):
+    docs, labels = labelled(spark)
+    docs = docs.union(spark.createDataFrame([(None, "river vilethug rottenfool vilethug", "n"), (None, "river stone light", "n"), (1, "river stone light moves", "again")], DOCS))
+    good = Counter((r.doc_id, r.text, r.label) for r in toxicity.keep_civil(docs, labels).collect())
+    bad = Counter(r.doc_id for r in toxicity.score_toxicity(docs, labels).collect() if r.predicted)
+    assert Counter(i for i, _, _ in good.elements()) + bad == Counter(r.doc_id for r in docs.collect())
+    assert (None, "river stone light", "n") in good and (None, "river vilethug rottenfool vilethug", "n") not in good and (1, "river stone light moves", "again") in good
+
+
 def test_isotonic_is_the_monotone_fit():
     n, ones = np.array([10.0, 10, 0, 10, 10]), np.array([1.0, 4, 0, 2, 9])
     fit = quality.isotonic(n, ones)
