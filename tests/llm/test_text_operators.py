@@ -230,6 +230,16 @@ def test_license_scan(spark):
     assert license_scan.scan_licenses(empty(spark)).count() == 0
 
 
+def test_license_with_repeated_words_passes_the_filter():
+    long = license_scan.words_of(license_scan.TEMPLATES[1][2])
+    seen = [w for w in dict.fromkeys(long) if long.count(w) == 1]
+    for gone in (seen[:5], seen[-5:], seen[::4][:5]):
+        left = [w for w in long if w not in gone]
+        assert len(left) == len(long) - 5 and len(license_scan.align(left, long)) >= 0.8 * len(long)
+        found = license_scan.Scanner(license_scan.TEMPLATES[1:2], 0.8).scan("before " + " ".join(left) + " after")
+        assert [(x[1], x[2]) for x in found] == [(25, "Apache-2.0")]
+
+
 def test_alignment_is_increasing_and_exact_on_copies():
     assert license_scan.increasing([3, 1, 2, 5, 4]) in ([1, 2, 3], [1, 2, 4])
     random.seed(6)

@@ -4,8 +4,8 @@ A template is found where enough of its words align, in order, with a stretch of
 stretch and in the template are anchors, the longest increasing subsequence of their places is kept, and the gaps between
 kept anchors are aligned in the same way. Coverage is the aligned share of the template's words.
 
-Every text is looked at whole. A template can only reach its coverage if the text holds that share of its distinct words,
-so texts that do not are settled by set operations, without loss; in the others, stretches twice a template's length that
+Every text is looked at whole. A template can only reach its coverage if the words that the text holds fill that share of
+its places, so texts that do not are settled by set operations, without loss; in the others, stretches twice a template's length that
 hold enough of its words are aligned.
 
 Edge cases: null and empty texts have no license; a text with several licenses lists all and is named after the one of
@@ -96,6 +96,7 @@ class Scanner:
         self.coverage = coverage
         self.templates = [(name, free, words_of(text)) for name, free, text in templates]
         self.sets = [frozenset(t) for _, _, t in self.templates]
+        self.places = [Counter(t) for _, _, t in self.templates]
         self.every = frozenset().union(*self.sets)
 
     def stretches(self, words: list[str], template: list[str], known: frozenset[str]) -> Iterator[tuple[int, int]]:
@@ -115,8 +116,8 @@ class Scanner:
         words = words_of(text)
         held = self.every.intersection(words)
         found = {}
-        for (name, free, template), known in zip(self.templates, self.sets, strict=True):
-            if len(held & known) < self.coverage * len(known):
+        for (name, free, template), known, places in zip(self.templates, self.sets, self.places, strict=True):
+            if sum(map(places.__getitem__, held & known)) < self.coverage * len(template):
                 continue
             for i, j in self.stretches(words, template, known):
                 pairs = align(words[i:j], template)
