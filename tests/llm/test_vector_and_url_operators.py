@@ -38,6 +38,23 @@ def test_search_against_force(spark, factor):
     assert ann.nearest(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["binary", "one-hot", "outlier", "repeats"])
+def test_shard_search_keeps_whole_ties(kind):
+    r = np.random.default_rng(12)
+    x = {"binary": lambda: r.integers(0, 2, (1500, 12)), "one-hot": lambda: np.eye(900, 900), "outlier": lambda: r.normal(size=(1500, 12)), "repeats": lambda: r.integers(0, 2, (1500, 12))}[kind]().astype(float)
+    ids = r.permutation(len(x)).astype(np.int64)
+    if kind == "outlier":
+        x[7] *= 1e8 / np.linalg.norm(x[7])
+    if kind == "repeats":
+        ids[:60] = 20
+    q = np.flatnonzero(ids % 20 == 0)
+    got = list(ann.search_shard(x, ids, x[q], ids[q], 20, 1.0, float(np.sqrt((x**2).sum(1).max()))))
+    for row, (name, found, scores) in zip(q, got, strict=True):
+        score = ann.dot_in_order(np.broadcast_to(x[row], x.shape), x)
+        best = sorted((i for i in range(len(x)) if ids[i] != name), key=lambda i: (-score[i], ids[i]))[:20]
+        assert (name, found.tolist(), scores.tolist()) == (ids[row], ids[best].tolist(), score[best].tolist())
+
+
 def test_vector_duplicates_against_force(spark):
     df, x, rows = table(spark)
     got = {r.vec_id: tuple(r)[1:] for r in vector_dedup.near_duplicates(df, cell_rows=8, block_rows=16, guest_rows=16).collect()}

@@ -2,8 +2,9 @@
 
 Inner product becomes a metric by one more component: x is completed to the largest norm M of the table, a query by 0, so
 that the squared distance is |q|^2 + M^2 - 2 q.x. Each shard of vectors builds a vantage-point tree; blocks of queries
-descend it together, and a subtree is left out when the triangle inequality puts it farther than the k-th best found over
-`factor`. Factor one is exact; larger factors prune more. Shards meet query blocks by keys (shard, block), the smaller
+descend it together, and a subtree is left out when the triangle inequality puts it farther than the k-th best inner
+product found allows, over `factor` and with a margin for rounding that grows with the norms. Every point that reaches the
+k-th best is collected, ties whole, and scored again in a fixed order. Factor one is exact; larger factors prune more. Shards meet query blocks by keys (shard, block), the smaller
 side repeated, so a task holds one shard and one block whatever the table's size; equal vectors of a shard are one point.
 
 Edge cases: vectors that are null, empty, zero, not of the table's commonest length, or hold null or non-finite
@@ -48,24 +49,32 @@ class VantageTree:
         return vantage, radius, self._build(rows[near]), self._build(rows[~near])
 
     def search(self, queries: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-        """(squared distances, rows) of the k nearest found, nearest first; absent ones are (inf, -1)."""
+        """(query, row) of every point whose inner product reaches the query's k-th best found, within rounding; all if there are not k."""
         self.q, self.k, self.factor = queries, k, factor
-        self.best = np.full((len(queries), k), np.inf)
-        self.at = np.full((len(queries), k), -1)
-        self.q2, self.p2 = (queries**2).sum(1), (self.points**2).sum(1)
+        flat = self.points[:, :-1]
+        q2, most = (queries**2).sum(1), (self.points**2).sum(1).max()
+        unit = 4 * (flat.shape[1] + 8) * np.finfo(float).eps
+        self.square = q2 + most
+        self.slack = 2 * unit * np.sqrt(q2 * most)  # of two inner products
+        self.blur = 2 * unit * self.square  # of a squared distance
+        self.best, self.found = np.full((len(queries), k), -np.inf), []
         self._visit(self.root, np.arange(len(queries)))
-        order = np.argsort(self.best, axis=1, kind="stable")
-        return np.take_along_axis(self.best, order, 1), np.take_along_axis(self.at, order, 1)
+        if not self.found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        who, rows, dots = (np.concatenate(x) for x in zip(*self.found, strict=True))
+        near = dots >= (self.best.min(1) - self.slack)[who]
+        return who[near], rows[near]
 
     def _offer(self, active: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        d2 = np.maximum(self.q2[active, None] + self.p2[rows] - 2 * self.q[active] @ self.points[rows].T, 0)
-        some = d2.min(1) < self.best[active].max(1)
+        dots = self.q[active] @ self.points[rows, :-1].T
+        near = dots >= (self.best[active].min(1) - self.slack[active])[:, None]
+        a, r = np.nonzero(near)
+        self.found.append((active[a], rows[r], dots[a, r]))
+        some = near.any(1)
         who = active[some]
-        both = np.hstack([self.best[who], d2[some]])
-        take = np.argpartition(both, self.k - 1, axis=1)[:, : self.k]
-        self.at[who] = np.take_along_axis(np.hstack([self.at[who], np.broadcast_to(rows, (len(who), len(rows)))]), take, 1)
-        self.best[who] = np.take_along_axis(both, take, 1)
-        return d2
+        both = np.hstack([self.best[who], dots[some]])
+        self.best[who] = np.partition(both, both.shape[1] - self.k, axis=1)[:, -self.k :]
+        return dots
 
     def _visit(self, node, active: np.ndarray) -> None:
         if not len(active):
@@ -75,11 +84,14 @@ class VantageTree:
                 self._offer(active, node)
             return
         vantage, radius, inside, outside = node
-        d = np.sqrt(self._offer(active, np.array([vantage]))[:, 0])
+        dots = self._offer(active, np.array([vantage]))[:, 0]
+        d = np.sqrt(np.maximum(self.square[active] - 2 * dots, 0))
         for first, second, here in ((inside, outside, d <= radius), (outside, inside, d > radius)):
-            self._visit(first, active[here])
-            reach = np.sqrt(self.best[active[here]].max(1)) / self.factor + 1e-9
-            self._visit(second, active[here][np.abs(d[here] - radius) <= reach])
+            at = active[here]
+            self._visit(first, at)
+            room = np.maximum(self.square[at] - 2 * (self.best[at].min(1) - self.slack[at]), 0)
+            reach = np.sqrt(room + self.blur[at]) / self.factor + 4 * np.sqrt(self.blur[at])
+            self._visit(second, at[np.abs(d[here] - radius) <= reach])
 
 
 def dot_in_order(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -90,24 +102,29 @@ def dot_in_order(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def search_shard(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, factor: float, norm: float):
-    """The k best of one shard for each query: (query id, ids, scores), by score then id. Equal vectors count as one point, with their k+1 smallest ids."""
+def search_shard(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, factor: float, norm: float, step: int = 256):
+    """The k best of one shard for each query: (query id, ids, scores), by score then id. Equal vectors count as one point, with all their ids."""
     unique, back = np.unique(points, axis=0, return_inverse=True)
-    order = np.lexsort((ids, back.ravel()))
-    starts = np.searchsorted(back.ravel()[order], np.arange(len(unique) + 1))
+    back = back.ravel()
+    order = np.lexsort((ids, back))
+    starts = np.searchsorted(back[order], np.arange(len(unique) + 1))
     lift = np.sqrt(np.maximum(norm**2 - (unique**2).sum(1), 0))
     tree = VantageTree(np.column_stack([unique, lift]))
-    wide = min(k + 9, len(unique))
-    _, rows = tree.search(np.column_stack([queries, np.zeros(len(queries))]), wide, factor)
-    for q in range(len(queries)):
-        found = rows[q][rows[q] >= 0]
-        score = dot_in_order(np.broadcast_to(queries[q], (len(found), queries.shape[1])), unique[found])
-        lists = [ids[order[starts[r] : min(starts[r + 1], starts[r] + k + 1)]] for r in found]
-        flat, scores = np.concatenate(lists), np.repeat(score, [len(x) for x in lists])
-        keep = flat != query_ids[q]
-        flat, scores = flat[keep], scores[keep]
-        top = np.lexsort((flat, -scores))[:k]
-        yield query_ids[q], flat[top], scores[top]
+    own = np.unique(np.column_stack([ids, back]), axis=0)[:, 0]  # an id may be the only one of several points
+    wide = min(k + int(np.unique(own, return_counts=True)[1].max()), len(unique))
+    for at in range(0, len(queries), step):
+        who, rows = tree.search(queries[at : at + step], wide, factor)
+        score = np.zeros(len(who))
+        for i in range(queries.shape[1]):  # as dot_in_order adds up
+            score += queries[at + who, i] * unique[rows, i]
+        by = np.argsort(who, kind="stable")
+        ends = np.searchsorted(who[by], np.arange(min(step, len(queries) - at) + 1))
+        for q, (i, j) in enumerate(zip(ends[:-1], ends[1:], strict=True), start=at):
+            lists = [x[x != query_ids[q]][:k] for x in (ids[order[starts[r] : starts[r + 1]]] for r in rows[by[i:j]])]
+            flat = np.concatenate(lists) if lists else np.zeros(0, ids.dtype)
+            scores = np.repeat(score[by[i:j]], [len(x) for x in lists])
+            top = np.lexsort((flat, -scores))[:k]
+            yield query_ids[q], flat[top], scores[top]
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, factor: float = 1.0, shard_rows: int = 4096, block_rows: int = 4096) -> DataFrame:
