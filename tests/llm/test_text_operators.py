@@ -217,6 +217,40 @@ def test_plans_use_every_item():
         assert sum(t for _, t in plan) >= packing.lower_bound(sizes, 20)
 
 
+def fewest_by_force(items, capacity):
+    best = len(items)
+
+    def down(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(items):
+            best = len(rooms)
+            return
+        for r in sorted(set(rooms)):
+            if r >= items[i]:
+                left = list(rooms)
+                left.remove(r)
+                down(i + 1, [*left, r - items[i]])
+        down(i + 1, [*rooms, capacity - items[i]])
+
+    down(0, [])
+    return best
+
+
+def test_plans_are_never_worse_than_best_fit_and_exact_when_small():
+    sizes = dict.fromkeys((1229, 799, 614, 205), 300)
+    plan = packing.plan_patterns(sizes, 2048)
+    assert sum((Counter({s: n * t for s, n in Counter(p).items()}) for p, t in plan), Counter()) == Counter(sizes)
+    assert sum(t for _, t in plan) <= 423
+    random.seed(9)
+    for _ in range(60):
+        items = sorted((random.randint(3, 14) for _ in range(9)), reverse=True)
+        plan = packing.plan_patterns(Counter(items), 20)
+        assert sorted((s for p, t in plan for s in p * t), reverse=True) == items and all(sum(p) <= 20 for p, _ in plan)
+        assert sum(t for _, t in plan) == fewest_by_force(items, 20)
+
+
 # --- 6 --------------------------------------------------------------------------------------------------------------
 
 

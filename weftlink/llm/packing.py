@@ -3,9 +3,9 @@
 1. Each document is tokenised once, ended with id 0 and, if longer than a sequence, cut into full pieces behind a
    shorter first piece. The pieces, with their place among the pieces of the same length in their partition, are checkpointed.
 2. Sizes are at most the sequence length, so the whole instance is a histogram with that many counts, however large the
-   corpus. Bin completion runs over it on the driver: around the largest size left, undominated fillings are enumerated by
-   branch and bound (pruned by the waste that is still to beat; a best-fit filling is the first incumbent) and the chosen
-   pattern is laid down as often as the counts allow.
+   corpus. The better of best-fit decreasing and one pass of bin completion (the filling of least waste around the largest
+   size left, as often as the counts allow) is the incumbent. While it is above the lower bound, branch and bound goes over
+   the undominated fillings of the largest size left; it ends at the bound or after a fixed number of nodes.
 3. The patterns (a table bounded by the sequence length, not by the corpus) are broadcast; each piece finds its slot from
    its length and its index among the pieces of that length.
 
@@ -15,6 +15,7 @@ table gives no rows; other columns of the input are left out.
 
 from __future__ import annotations
 
+import sys
 import zlib
 from bisect import bisect_left
 from collections import Counter
@@ -123,8 +124,103 @@ def lower_bound(histogram: dict[int, int], capacity: int) -> int:
     return best
 
 
-def plan_patterns(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(sizes, how often) of every pattern; the counts of `histogram` are used up exactly."""
+Patterns = list[tuple[tuple[int, ...], int]]
+
+
+def best_fit(histogram: dict[int, int], capacity: int) -> Patterns:
+    """Best-fit decreasing over the histogram: bins of equal content are one group, so its work does not grow with the counts."""
+    groups: dict[int, Patterns] = {capacity: []}
+    rooms = []  # what is left in open bins, ascending
+    for s in sorted((s for s, n in histogram.items() if n > 0), reverse=True):
+        n = histogram[s]
+        while n:
+            at = bisect_left(rooms, s)
+            room = rooms[at] if at < len(rooms) else capacity
+            fits = room // s
+            if at < len(rooms):
+                fill, bins = groups[room].pop()
+            else:
+                fill, bins = (), -(-n // fits)
+            whole = min(bins, n // fits)
+            rest = n - whole * fits if whole < bins else 0
+            parts = [(fill + (s,) * fits, whole), (fill + (s,) * rest, 1 if rest else 0), (fill, bins - whole - (1 if rest else 0))]
+            n -= whole * fits + rest
+            for items, times in parts:
+                if times and items:
+                    left = capacity - sum(items)
+                    if not groups.setdefault(left, []):
+                        _place(rooms, left)
+                    groups[left].append((items, times))
+            if room < capacity and not groups[room]:
+                rooms.remove(room)
+    return [p for group in groups.values() for p in group]
+
+
+def _place(rooms: list[int], room: int) -> None:
+    at = bisect_left(rooms, room)
+    if at == len(rooms) or rooms[at] != room:
+        rooms.insert(at, room)
+
+
+def fillings(counts: dict[int, int], capacity: int, budget: list[int]) -> Iterator[tuple[int, ...]]:
+    """Fillings around the largest size, descending in their sizes; those that an unused size could still join, or in which one could take a smaller item's place, are dominated and left out."""
+    sizes = sorted(counts, reverse=True)
+
+    def down(i: int, picked: tuple[int, ...], room: int) -> Iterator[tuple[int, ...]]:
+        budget[0] -= 1
+        if budget[0] <= 0:
+            return
+        used = Counter(picked)
+        free = [s for s in sizes if counts[s] > used[s]]
+        for j in range(max(i, _first(sizes, room)), len(sizes)):
+            if counts[sizes[j]] > used[sizes[j]]:
+                yield from down(j, (*picked, sizes[j]), room - sizes[j])
+        if not any(x <= room or any(y < x <= y + room for y in used if y != picked[0]) for x in free):
+            yield picked
+
+    return down(0, (sizes[0],), capacity - sizes[0])
+
+
+def improved(histogram: dict[int, int], capacity: int, incumbent: Patterns, nodes: int) -> Patterns:
+    """Branch and bound from `incumbent`: over the undominated fillings of the largest size left and how often each is laid down."""
+    best, fewest, budget = incumbent, sum(t for _, t in incumbent), [nodes]  # the fillings' own steps count as well
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 2 * nodes + 1000))
+    floor = lower_bound(histogram, capacity)
+
+    def down(counts: dict[int, int], laid: Patterns, used: int) -> None:
+        nonlocal best, fewest
+        if not counts:
+            if used < fewest:
+                best, fewest = laid, used
+            return
+        budget[0] -= 1
+        if budget[0] <= 0 or used + lower_bound(counts, capacity) >= fewest:
+            return
+        for fill in fillings(counts, capacity, budget):
+            pattern = Counter(fill)
+            for times in range(min(counts[s] // n for s, n in pattern.items()), 0, -1):
+                left = {s: n - pattern[s] * times for s, n in counts.items() if n > pattern[s] * times}
+                down(left, [*laid, (fill, times)], used + times)
+                if budget[0] <= 0 or fewest <= floor:
+                    return
+
+    down({s: n for s, n in histogram.items() if n > 0}, [], 0)
+    return best
+
+
+def plan_patterns(histogram: dict[int, int], capacity: int, nodes: int = 1000) -> Patterns:
+    """(sizes, how often) of every pattern; the counts of `histogram` are used up exactly.
+
+    The better of best-fit decreasing and bin completion; where it is above the lower bound, branch and bound goes on from it.
+    It is fewest for sure when it meets the bound or the search ends within `nodes`."""
+    plan = min(best_fit(histogram, capacity), completed(histogram, capacity), key=lambda p: sum(t for _, t in p))
+    if sum(t for _, t in plan) > lower_bound(histogram, capacity):
+        plan = improved(histogram, capacity, plan, nodes)
+    return plan
+
+
+def completed(histogram: dict[int, int], capacity: int) -> Patterns:
+    """One pass of bin completion: the filling of least waste around the largest size left, as often as the counts allow."""
     counts = {s: n for s, n in histogram.items() if n > 0}
     patterns: list[tuple[tuple[int, ...], int]] = []
     while counts:
