@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +29,21 @@ def build_session(cores: int = 8, **conf: str) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint folder: the cluster's `spark.checkpoint.dir`, or a temporary one where it is unset."""
+    """The reliable checkpoint folder: the cluster's `spark.checkpoint.dir`. Only a local session may leave it unset; it gets a temporary one."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="weftlink-ckpt-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="weftlink-ckpt-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def tidy(spark: SparkSession) -> None:
+    """Delete the shuffle files of a query when it ends. Stages hand their rows on in checkpoints, so nothing reads those files again."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage: materialise `df` in the shared checkpoint folder, so that a lost executor costs no recomputation.
 
@@ -44,21 +52,39 @@ def cut(df: DataFrame) -> DataFrame:
     execution sees the real sizes."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    tidy(spark)
     done = df.checkpoint(eager=True)._jdf
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(done.queryExecution().toRdd(), done.schema(), False), spark)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more; it learns of them from the garbage collectors."""
-    for _ in range(2):  # the second round sees what the first one's finalisers let go; the job takes the scheduler's own last references
-        spark.range(1).count()
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
+def discard(*frames: DataFrame) -> None:
+    """Delete the checkpoints of frames that `cut` made and nothing will read again."""
+    for df in frames:
+        plan = df._jdf.queryExecution().logical()
+        rdd = plan.rdd() if plan.getClass().getSimpleName() == "LogicalRDD" else None
+        while rdd is not None and not rdd.getCheckpointFile().isDefined():
+            above = rdd.dependencies()
+            rdd = above.apply(0).rdd() if above.size() == 1 else None
+        if rdd is not None:
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(rdd.getCheckpointFile().get())
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most `rows` rows for what is planned and run inside; bounds a worker's memory where rows are wide."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so Python workers can import it wherever they run."""
+    tidy(spark)
     sc = spark.sparkContext
     if getattr(sc, "_weftlink_shipped", False):
         return
