@@ -292,12 +292,13 @@ def test_bpe_round_trip_equals_the_library(spark):
     import tiktoken
 
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tokens.load_ranks(RANKS), special_tokens={})
-    texts = ["hello world's  \n\n foo_bar 12²3 a <|endoftext|> x", "naïve café   ", "", None, "हिन्दी 😀😀 \x85 y", "aaaaaaaaaaaaaaaaaaaa    b", "x'll I'd\r\n\r\n  z"]
+    texts = ["hello world's  \n\n foo_bar 12²3 a <|endoftext|> x", "naïve café   ", "", None, "हिन्दी 😀😀 \x85 y", "aaaaaaaaaaaaaaaaaaaa    b", "x'll I'd\r\n\r\n  z", random.Random(3).randbytes(150_000).hex(), "zß" * 400 + " " + "q" * 129]
     rows = [(i, t, "x") for i, t in enumerate(texts)] + [(5, texts[5], "x")]
-    got = Counter(map(tuple, bpe.round_trip(spark.createDataFrame(rows, DOCS), RANKS).collect()))
+    got, again = (Counter(map(tuple, bpe.round_trip(spark.createDataFrame(rows, DOCS), RANKS, by).collect())) for by in (False, True))
     want = Counter()
     for i, t, _ in rows:
         ids = enc.encode_ordinary(t or "")
         want[i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += 1
     assert got == want
+    assert again == want
     assert bpe.round_trip(empty(spark), RANKS).count() == 0

@@ -11,6 +11,7 @@ import base64
 import os
 import re
 from array import array
+from functools import cache
 
 #: Letters and other characters on which the fast cut is exact.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏΑ-ΡΣ-ώА-я一-龥ぁ-ゖァ-ヺ가-힣"
@@ -18,6 +19,23 @@ _PLAIN = re.compile(rf"[\t-\r -~ -±´-¸º»¿-ɏ‐-‧€{_LETTERS}]*")
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 
 
+#: The public pretoken pattern.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+@cache
+def _pattern():
+    import regex
+
+    return regex.compile(PATTERN)
+
+
+def words_of(text: str) -> list[str]:
+    """The matches of the public pattern."""
+    return _WORDS.findall(text) if _PLAIN.fullmatch(text) else _pattern().findall(text)
+
+
+@cache
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as file:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, file)}
