@@ -10,13 +10,20 @@ near copies stay near however large their group is.
 2. A document's similarity to any other is at most its shared weight over its whole weight; below the threshold it can
    have no partner and is done, without loss. The others get weighted samples and band keys, and equal shingle
    multisets are folded into one representative.
-3. Band buckets propose pairs: first each document with the leader it meets in most bands, then every leader (a bucket is led
-   by its member that meets most others in all bands), then, only in buckets that still hold different classes, the members
-   outside the largest class against all. Pairs already in one class are not asked again; every pair is verified by its
-   weighted Jaccard similarity. Classes are connected components.
-
-Edge cases: null and blank texts have no words and are classes of their own; a null doc_id is kept, alone; repeated rows
-of a doc_id are one document, reported on each row; an empty table gives no rows; other columns of the input are left out.
+3. Each document is verified with the leader it meets in most band buckets (a bucket is led by its member that meets most
+   others in all bands). In buckets that still hold different classes, every member is verified with the leader L and leaves
+   what of it L lacks, its residue. Two members x, y share at most min(w(x in L), w(y in L)) and what their residues share, so
+   a pair of similarity t either lies in L by t of both weights, or shares a shingle of a prefix of both residues, rarest
+   first. Members meet again by those keys only; small groups there are verified pair by pair, large ones are led anew, until
+   no group holds two classes. This keeps every link of the band buckets and takes rows in proportion to the members.
+   Classes are connected components.
+
+Rows are known by a 64-bit hash of (doc_id, text); rows that are equal in both are one document before anything is counted.
+
+Edge cases: null and blank texts have no words and are classes of their own; rows without a doc_id are compared like all
+others, and a class has no class_id only if none of its rows has a doc_id; repeated rows are one document, reported on each
+row; different texts under one doc_id are different documents; an empty table gives no rows; other columns of the input are
+left out.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftlink.llm.common import batches_for, connected_components, cut, runs_of, ship
-from weftlink.session import release
+from weftlink.session import arrow_rows, discard
 
 U64 = np.uint64
 LOW = U64(2**48 - 1)
@@ -140,11 +147,14 @@ class Sampler:
         return keys
 
 
-def weighted_jaccard(h1: np.ndarray, w1: np.ndarray, all1: float, h2: np.ndarray, w2: np.ndarray, all2: float) -> float:
-    """Of two multisets given by their shared shingles (sorted) and whole weights."""
-    both, i, j = np.intersect1d(h1, h2, assume_unique=True, return_indices=True)
-    least = float(np.minimum(w1[i], w2[j]).sum())
-    return least / (all1 + all2 - least) if len(both) else 0.0
+def tallies(n: np.ndarray) -> bytes:
+    """Counts as bytes if they fit, else as 32-bit numbers; `from_tallies` tells by the length."""
+    return n.astype(np.uint8 if not len(n) or n.max() < 256 else np.uint32).tobytes()
+
+
+def from_tallies(raws: list[bytes], sizes: list[int]) -> np.ndarray:
+    parts = [np.frombuffer(raw, np.uint8 if len(raw) == size else np.uint32).astype(np.uint32) for raw, size in zip(raws, sizes, strict=True)]
+    return np.concatenate([np.zeros(0, np.uint32), *parts])
 
 
 WORK = "to int, ids binary, counts binary, hashes binary, df binary, tf binary, whole binary"
@@ -168,7 +178,7 @@ def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def sketches(docs: DataFrame, width: int, threshold: float, bands: int, rows: int, damping: float, batch_bytes: int) -> DataFrame:
     """doc_id, content, whole, hashes, weights, bands of the documents that may have a near duplicate."""
     buckets = batches_for(docs, F.octet_length("text"), batch_bytes)
-    total = docs.count()
+    total = docs.select("doc_id").distinct().count()
     groups = buckets
     norm = damping / math.log(1 + total) if total else 0.0
     idf = lambda df: 1 + norm * np.log((1 + total) / (1 + df))
@@ -188,15 +198,15 @@ def sketches(docs: DataFrame, width: int, threshold: float, bands: int, rows: in
             parts = []
             for i, j in runs_of(offsets):
                 d, x, n = counted(*shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width))
-                parts.append(((d + i).astype(np.int32), x, np.minimum(n, 65535).astype(np.uint16)))
+                parts.append(((d + i).astype(np.int32), x, n.astype(np.uint32)))
             doc, h, tf = (np.concatenate(x) for x in zip(*parts, strict=True))
             del parts
-            bucket = (h >> U64(48)) * U64(buckets) >> U64(16)
+            bucket = (h >> U64(32)) * U64(buckets) >> U64(32)
             out = []
             for to, rows in _split(bucket):  # within a bucket rows stay in document order
                 d = doc[rows]
                 first = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-                out.append((to, ids[d[first]].tobytes(), np.diff(np.append(first, len(d))).astype(np.uint32).tobytes(), six(h[rows]), b"", tf[rows].tobytes(), b""))
+                out.append((to, ids[d[first]].tobytes(), np.diff(np.append(first, len(d))).astype(np.uint32).tobytes(), six(h[rows]), b"", tallies(tf[rows]), b""))
             whole = np.bincount(doc, weights=1 + np.log(tf), minlength=len(ids))
             some = np.flatnonzero(whole > 0)
             for to, rows in _split(group_of(ids[some])):
@@ -213,9 +223,16 @@ def sketches(docs: DataFrame, width: int, threshold: float, bands: int, rows: in
         if to < 0:
             return table.set_column(0, "to", pa.array(np.full(table.num_rows, -1 - to, np.int32)))
         ids, counts = join(table, "ids", np.int64), join(table, "counts", np.uint32)
-        h = from_six(b"".join(table.column("hashes").to_pylist()))
-        tf = join(table, "tf", np.uint16)
+        raw = table.column("hashes").to_pylist()
+        h = from_six(b"".join(raw))
+        tf = from_tallies(table.column("tf").to_pylist(), [len(x) // 6 for x in raw])
         owner = np.repeat(np.arange(len(ids)), counts)
+        _, one = np.unique(ids, return_inverse=True)
+        if len(ids) > (one.max() + 1 if len(ids) else 0):  # repeated rows: one of each (document, shingle) stays
+            owner = one[owner]
+            order = np.lexsort((h, owner))
+            first = order[np.concatenate([[True], (np.diff(owner[order]) != 0) | (np.diff(h[order]) != 0)])]
+            ids, owner, h, tf = np.unique(ids), owner[first], h[first], tf[first]
         order = np.argsort(h)
         sorted_h = h[order]
         new = np.concatenate([[True], sorted_h[1:] != sorted_h[:-1]])
@@ -223,12 +240,12 @@ def sketches(docs: DataFrame, width: int, threshold: float, bands: int, rows: in
         df = np.empty(len(h), np.uint32)
         df[order] = np.bincount(run)[run]
         shared = np.flatnonzero(df > 1)
-        owner, h, df, tf = owner[shared], h[shared] | U64((to & 0xFFFF) << 48), df[shared], tf[shared]
+        owner, h, df, tf = owner[shared], h[shared] ^ mix(np.array([to], np.uint64) * U64(_BASE)), df[shared], tf[shared]
         out = []
         for group, rows in _split(group_of(ids[owner])):
             d = owner[rows]
             first = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-            out.append((group, ids[d[first]].tobytes(), np.diff(np.append(first, len(d))).astype(np.uint32).tobytes(), h[rows].tobytes(), df[rows].tobytes(), tf[rows].tobytes(), b""))
+            out.append((group, ids[d[first]].tobytes(), np.diff(np.append(first, len(d))).astype(np.uint32).tobytes(), h[rows].tobytes(), df[rows].tobytes(), tallies(tf[rows]), b""))
         return pa.table(*_work(out))
 
     def sample(table):
@@ -239,7 +256,8 @@ def sketches(docs: DataFrame, width: int, threshold: float, bands: int, rows: in
         ids, first_row = np.unique(join(at_whole, "ids", np.int64), return_index=True)
         whole_tf = join(at_whole, "whole", np.float64)[first_row]
         owner = np.searchsorted(ids, np.repeat(join(at_shared, "ids", np.int64), join(at_shared, "counts", np.uint32)))
-        h, df, tf = join(at_shared, "hashes", np.uint64), join(at_shared, "df", np.uint32), join(at_shared, "tf", np.uint16)
+        h, df = join(at_shared, "hashes", np.uint64), join(at_shared, "df", np.uint32)
+        tf = from_tallies(at_shared.column("tf").to_pylist(), [len(x) // 8 for x in at_shared.column("hashes").to_pylist()])
         logtf = 1 + np.log(tf)
         w = (logtf * idf(df)).astype(np.float32).astype(np.float64)
         shared = np.bincount(owner, weights=w, minlength=len(ids))
@@ -248,9 +266,7 @@ def sketches(docs: DataFrame, width: int, threshold: float, bands: int, rows: in
         fit &= shared > 0
         keep = np.flatnonzero(fit[owner])
         keep = keep[np.lexsort((h[keep], owner[keep]))]
-        owner, h, w = owner[keep], h[keep], w[keep]
-        again = np.concatenate([[False], (owner[1:] == owner[:-1]) & (h[1:] == h[:-1])]) if len(owner) else np.zeros(0, bool)  # a repeated row of one doc_id
-        owner, h, w = owner[~again], h[~again], w[~again]
+        owner, h, w, rarity = owner[keep], h[keep], w[keep], np.minimum(np.log2(df[keep]) * 6, 255).astype(np.uint8)
         who, starts = np.unique(owner, return_index=True)
         ends = np.append(starts[1:], len(owner))[: len(starts)]
         keys = sampler.bands_of(h, w, starts).view(np.int64) if len(who) else np.zeros((0, bands), np.int64)
@@ -267,88 +283,155 @@ def sketches(docs: DataFrame, width: int, threshold: float, bands: int, rows: in
                 "whole": pa.array(whole[who], pa.float64()),
                 "hashes": pa.array([h[i:j].tobytes() for i, j in zip(starts, ends, strict=True)], pa.binary()),
                 "weights": pa.array([w[i:j].astype(np.float32).tobytes() for i, j in zip(starts, ends, strict=True)], pa.binary()),
+                "rarity": pa.array([rarity[i:j].tobytes() for i, j in zip(starts, ends, strict=True)], pa.binary()),
                 "bands": pa.array(keys.tolist(), pa.list_(pa.int64())),
             }
         )
 
-    source = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("binary").alias("data"))
-    schema = "doc_id long, content long, size long, whole double, hashes binary, weights binary, bands array<long>"
+    source = docs.select("doc_id", F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("binary").alias("data"))
+    schema = "doc_id long, content long, size long, whole double, hashes binary, weights binary, rarity binary, bands array<long>"
     shared = source.mapInArrow(emit, WORK).groupBy("to").applyInArrow(count, WORK)
     return shared.groupBy("to").applyInArrow(sample, schema)
 
 
-def verify(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
-    """The rows (a, b) of `pairs` whose weighted Jaccard similarity reaches the threshold."""
-    body = lambda x: sketch.select(F.col("doc_id").alias(x), F.struct("whole", "hashes", "weights").alias(f"of_{x}"))
+def probe(pairs: DataFrame, body: DataFrame, threshold: float) -> DataFrame:
+    """a, b, near (weighted Jaccard reaches the threshold), held, rest and meets for the rows (a, b) of `pairs`.
+
+    `held` is the weight of b in a, `rest` that of its residue. `meets` are keys of b under the leader a: windows of its weight
+    if a holds `threshold` of it (odd), and the shingles of the prefix of its residue (even). Two members that are similar share one of them."""
+    of = lambda x: body.select(F.col("doc_id").alias(x), F.struct("whole", "hashes", "weights", "rarity").alias(f"of_{x}"))
+
+    def read(s):
+        return np.frombuffer(s["hashes"], np.uint64), np.frombuffer(s["weights"], np.float32).astype(float), np.frombuffer(s["rarity"], np.uint8), s["whole"]
 
     def check(batches):
         import pyarrow as pa
 
         for batch in batches:
-            keep = []
-            for r, (x, y) in enumerate(zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist(), strict=True)):
-                sides = [v for s in (x, y) for v in (np.frombuffer(s["hashes"], np.uint64), np.frombuffer(s["weights"], np.float32).astype(float), s["whole"])]
-                if weighted_jaccard(*sides) >= threshold:
-                    keep.append(r)
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(keep, pa.int64())), batch.column("b").take(pa.array(keep, pa.int64()))], ["a", "b"])
-
-    return pairs.select("a", "b").join(body("a"), "a").join(body("b"), "b").mapInArrow(check, "a long, b long")
-
-
-def classes(sketch: DataFrame, threshold: float) -> DataFrame:
-    """node, component over the representatives of equal contents, for those that have a partner."""
-    reps = cut(sketch.groupBy("content", "size").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
-    own = cut(sketch.select("doc_id", "whole", "bands").join(reps, "doc_id", "left_semi"))
-    seats = own.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    # a bucket's leader is the member that meets most others anywhere: the text that a family of near copies comes from
-    sizes = cut(seats.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"))
-    seats = cut(seats.join(sizes, ["band", "key"]))
-    degree = cut(seats.groupBy("doc_id").agg(F.sum("n").alias("degree")))
-    seats = cut(seats.join(degree, "doc_id").select("band", "key", "doc_id", "degree"))
-    leaders = cut(seats.groupBy("band", "key").agg(F.max_by("doc_id", F.struct("degree", -F.col("doc_id"))).alias("leader")))
-    met = cut(seats.join(leaders, ["band", "key"]).where("doc_id <> leader").groupBy("doc_id", "leader").agg(F.count("*").alias("n"), F.max("degree").alias("degree")))
-    first = met.groupBy("doc_id").agg(F.max_by("leader", F.struct("n", -F.col("leader"))).alias("leader"))
-    asked = cut(first.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")))
-    edges = cut(verify(asked, sketch, threshold))
-    for turn in range(2):
-        label = cut(connected_components(edges))
-        named = lambda df, x: df.join(label.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))  # noqa: B023, E731
-        if turn == 0:
-            pairs = met.select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
-            pairs = named(named(pairs, "a"), "b").where("ca <> cb").select("a", "b")
-        else:
-            held = cut(named(seats.select("band", "key", F.col("doc_id").alias("b")), "b"))
-            share = held.groupBy("band", "key", "cb").agg(F.count("*").alias("n"))
-            split = cut(share.groupBy("band", "key").agg(F.count("*").alias("m"), F.max_by("cb", F.struct("n", -F.col("cb"))).alias("main")).where("m > 1"))
-            held = cut(held.join(split, ["band", "key"]).join(own.select(F.col("doc_id").alias("b"), F.col("whole").alias("wb"), F.col("bands").alias("bb")), "b"))
-            few = held.where("cb <> main").select("band", "key", F.col("b").alias("a"), F.col("cb").alias("ca"), F.col("wb").alias("wa"), F.col("bb").alias("ba"))
-            # a pair is met once, in its first common band; weights too far apart cannot be similar
-            once = F.array_position(F.zip_with("ba", "bb", lambda x, y: x == y), True) == F.col("band") + 1
-            near = F.least("wa", "wb") >= (threshold - 1e-6) * F.greatest("wa", "wb")
-            on = few.join(held, ["band", "key"]).where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))) & near & once)
-            pairs = on.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = cut(pairs.join(asked.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")), (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti"))
-        asked = cut(asked.union(fresh))
-        edges = cut(edges.union(verify(fresh, sketch, threshold)))
-        release(sketch.sparkSession)
-    return connected_components(edges)
-
-
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, bands: int = 20, rows: int = 4, damping: float = 0.5, batch_bytes: int = 8 << 20) -> DataFrame:
-    """doc_id, class_id (the class's smallest doc_id), class_size and kept (doc_id = class_id) for each row of `docs` (doc_id, text)."""
-    spark = docs.sparkSession
-    ship(spark)
-    sketch = cut(sketches(docs, width, threshold, bands, rows, damping, batch_bytes))
-    release(spark)
-    found = cut(classes(sketch, threshold))
-    release(spark)
+            near, weights, rests, meets = [], [], [], []
+            for x, y in zip(batch.column("of_a"), batch.column("of_b"), strict=True):
+                (ha, wa, _, all_a), (hb, wb, rare, all_b) = read(x.as_py()), read(y.as_py())
+                at = np.minimum(np.searchsorted(ha, hb), len(ha) - 1)
+                held = np.where(ha[at] == hb, np.minimum(wa[at], wb), 0.0)
+                both, slack = float(held.sum()), 1e-5 * all_b
+                near.append(both >= threshold * (all_a + all_b - both))
+                weights.append(both)
+                rest = wb - held
+                rests.append(float(rest.sum()))
+                left = np.flatnonzero(rest > 1e-6)
+                left = left[np.lexsort((hb[left], rare[left]))]
+                after = np.cumsum(rest[left][::-1])[::-1]  # the weight from this shingle on
+                keys = mix(hb[left[after >= threshold * all_b - both - slack]]) & ~U64(1)
+                if both >= threshold * all_b - slack:
+                    window = int(np.floor(np.log(all_b) / -np.log(threshold)))
+                    keys = np.append(keys, mix(np.array([window % 2**32, (window + 1) % 2**32], np.uint64)) | U64(1))
+                meets.append(keys.view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(near, pa.bool_()), pa.array(weights), pa.array(rests), pa.array(meets, pa.list_(pa.int64()))], ["a", "b", "near", "held", "rest", "meets"])
+
+    with arrow_rows(body.sparkSession, 256):
+        return cut(pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").mapInArrow(check, "a long, b long, near boolean, held double, rest double, meets array<long>"))
+
+
+def classes(sketch: DataFrame, threshold: float, few: int = 16) -> DataFrame:
+    """node, component over the representatives of equal contents, for those that have a partner.
+
+    `few` members or fewer of a group are compared pair by pair; more of them by a leader and the keys that `probe` gives.
+    It doubles from round to round, so that rounds are few also where a leader parts a group from little."""
+    reps = sketch.groupBy("content", "size").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    body = cut(sketch.join(reps, "doc_id", "left_semi"))
+    seats = body.select(F.posexplode("bands").alias("band", "key"), "doc_id", "whole").select(F.xxhash64("band", "key").alias("bucket"), "doc_id", "whole", F.col("whole").alias("held"), F.lit(0.0).alias("rest"))
+    seats = cut(_crowded(seats))
+    degree = cut(_degrees(seats))
+    home = cut(_homes(seats, degree))
+    first = home.select(F.col("home").alias("a"), F.col("doc_id").alias("b"))
+    edges = cut(probe(first, body, threshold).where("near").select("a", "b"))
+    label = cut(connected_components(edges))
+    while True:
+        split = cut(_mixed(seats, label))
+        if split.isEmpty():
+            return label
+        sizes = cut(split.groupBy("bucket").agg(F.count("*").alias("n")))
+        small = cut(split.join(sizes.where(F.col("n") <= few).select("bucket"), "bucket"))
+        x, y = (small.select("bucket", *(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "label", "whole", "held", "rest"))) for side in "xy")
+        room = F.least("held_x", "held_y") + F.least("rest_x", "rest_y") >= (threshold / (1 + threshold) - 1e-5) * (F.col("whole_x") + F.col("whole_y"))
+        pairs = x.join(y, "bucket").where("doc_id_x < doc_id_y AND label_x <> label_y").where(room).select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b"), F.lit(False).alias("star"))
+        large = cut(split.join(sizes.where(F.col("n") > few).select("bucket"), "bucket"))
+        led = cut(_led(large, home if home is not None else _homes(large, degree)))
+        asked = cut(pairs.union(led.select("a", "b", F.lit(True))).groupBy("a", "b").agg(F.max("star").alias("star")))
+        told = probe(asked, body, threshold)
+        named = lambda x: label.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))  # noqa: B023, E731
+        fresh = told.where("near").select("a", "b").join(named("a"), "a", "left").join(named("b"), "b", "left")
+        links = fresh.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).where("a <> b").distinct()
+        merged = cut(connected_components(links))
+        known = label.union(merged.select("node", F.col("node").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
+        label = cut(known.join(merged.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select("node", F.coalesce("root", "component").alias("component")))
+        keys = told.join(led, ["a", "b"]).select("a", F.explode("meets").alias("key"), F.col("b").alias("doc_id"), "whole", "held", "rest")
+        keys = keys.select(F.xxhash64("a", "key").alias("bucket"), "doc_id", "whole", "held", F.when(F.col("key") % 2 == 0, F.col("rest")).otherwise(0.0).alias("rest"))
+        discard(seats)
+        seats = cut(_once(cut(_roomy(cut(keys), threshold))))
+        discard(split, sizes, small, large, led, asked, told)
+        home, few = None, 2 * few
+
+
+def _crowded(seats: DataFrame) -> DataFrame:
+    """The seats in buckets with more than one member."""
+    sizes = cut(seats.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    return seats.join(sizes.select("bucket"), "bucket")
+
+
+def _roomy(seats: DataFrame, threshold: float) -> DataFrame:
+    """The seats that leave room for a similar member: even the lightest other one must not be too heavy for what both can share."""
+    least = cut(seats.groupBy("bucket").agg(F.min("whole").alias("least"), F.count("*").alias("n")).where("n > 1"))
+    room = (F.col("held") + F.col("rest")) * ((1 + threshold) / threshold) - F.col("whole") >= F.col("least") * (1 - 1e-4)
+    return _crowded(cut(seats.join(least, "bucket").where(room).drop("least", "n")))
+
+
+def _degrees(seats: DataFrame) -> DataFrame:
+    """doc_id, degree: how many members the document's buckets have together."""
+    sizes = cut(seats.groupBy("bucket").agg(F.count("*").alias("n")))
+    return seats.join(sizes, "bucket").groupBy("doc_id").agg(F.sum("n").alias("degree"))
+
+
+def _once(seats: DataFrame) -> DataFrame:
+    """The seats without the buckets whose members are those of another bucket."""
+    made = cut(seats.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.sum(F.xxhash64("doc_id", F.lit(1)) % 1_000_000_007).alias("y")))
+    return seats.join(cut(made.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")), "bucket")
+
+
+def _homes(seats: DataFrame, degree: DataFrame) -> DataFrame:
+    """doc_id, home: of the other members that lead the document's buckets, the one it meets most. A bucket is led by its member of the highest degree."""
+    ranked = cut(seats.select("bucket", "doc_id").join(degree, "doc_id"))
+    leaders = cut(ranked.groupBy("bucket").agg(F.max_by("doc_id", F.struct("degree", -F.col("doc_id"))).alias("a")))
+    met = seats.join(leaders, "bucket").where("doc_id <> a").groupBy("doc_id", "a").agg(F.count("*").alias("n"))
+    return met.groupBy("doc_id").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("home"))
+
+
+def _led(seats: DataFrame, home: DataFrame) -> DataFrame:
+    """a, b, whole: the members b of buckets under the leader a, the commonest home in a bucket, so that one leader serves the many buckets of a family."""
+    housed = cut(seats.select("bucket", "doc_id", "whole").join(home, "doc_id"))
+    votes = housed.groupBy("bucket", "home").agg(F.count("*").alias("n"))
+    leaders = cut(votes.groupBy("bucket").agg(F.max_by("home", F.struct("n", -F.col("home"))).alias("a")))
+    members = cut(seats.select("bucket", F.col("doc_id").alias("b"), "whole"))
+    return members.join(leaders, "bucket").where("a <> b").select("a", "b", "whole").distinct()
+
+
+def _mixed(seats: DataFrame, label: DataFrame) -> DataFrame:
+    """The seats, with their documents' labels, in buckets that hold more than one class."""
+    held = cut(seats.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component"))
+    mixed = cut(held.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket"))
+    return held.join(mixed, "bucket")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, bands: int = 20, rows: int = 4, damping: float = 0.5, batch_bytes: int = 4 << 20) -> DataFrame:
+    """doc_id, class_id (the class's smallest doc_id), class_size (its distinct documents) and kept (doc_id = class_id) for each row of `docs` (doc_id, text)."""
+    ship(docs.sparkSession)
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    sketch = cut(sketches(keyed.select(F.col("key").alias("doc_id"), "text"), width, threshold, bands, rows, damping, batch_bytes))
+    found = classes(sketch, threshold)
     rep = cut(sketch.groupBy("content", "size").agg(F.min("doc_id").alias("rep")))
-    rep = cut(rep.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("content", "size", F.coalesce("component", "rep").alias("class_id")))
-    member = sketch.select("doc_id", "content", "size").join(rep, ["content", "size"]).select("doc_id", "class_id")
-    sizes = cut(member.groupBy("class_id").agg(F.count("*").alias("class_size"), F.min("doc_id").alias("class_min")))
-    member = cut(member.join(sizes, "class_id").select("doc_id", F.col("class_min").alias("class_id"), "class_size"))
-    return (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-        .join(member, "doc_id", "left")
-        .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), F.coalesce(F.col("doc_id") == F.coalesce("class_id", "doc_id"), F.lit(True)).alias("kept"))
-    )
+    rep = cut(rep.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("content", "size", F.coalesce("component", "rep").alias("class")))
+    member = cut(sketch.select("doc_id", "content", "size").join(rep, ["content", "size"]).select(F.col("doc_id").alias("key"), "class"))
+    discard(sketch)
+    marked = cut(keyed.select("doc_id", "key").join(member, "key", "left").select("doc_id", "key", F.coalesce("class", "key").alias("class")))
+    sizes = cut(marked.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count_distinct("key").alias("class_size")))
+    return marked.join(sizes, "class").select("doc_id", "class_id", "class_size", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
