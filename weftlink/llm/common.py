@@ -71,12 +71,9 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
-    seen = None
     for _ in range(rounds):
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_000_007), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == seen or not now[0]:
+        if _settled(e):
             break
-        seen = now
         both = e.union(e.select("v", "u"))
         least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -87,3 +84,9 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("connected components did not settle")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())
+
+
+def _settled(e: DataFrame) -> bool:
+    """Whether every upper end has one lower end and no lower end is an upper end too, so that each component is a star."""
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)").isEmpty()

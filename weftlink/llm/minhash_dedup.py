@@ -340,67 +340,53 @@ def classes(sketch: DataFrame, threshold: float, few: int = 16) -> DataFrame:
     reps = sketch.groupBy("content", "size").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     body = cut(sketch.join(reps, "doc_id", "left_semi"))
     seats = body.select(F.posexplode("bands").alias("band", "key"), "doc_id", "whole").select(F.xxhash64("band", "key").alias("bucket"), "doc_id", "whole", F.col("whole").alias("held"), F.lit(0.0).alias("rest"))
-    seats = cut(_crowded(seats))
-    degree = cut(_degrees(seats))
+    sizes = cut(seats.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    seats = cut(seats.join(sizes, "bucket"))
+    degree = cut(seats.groupBy("doc_id").agg(F.sum("n").alias("degree")))
+    seats = seats.drop("n")
     home = cut(_homes(seats, degree))
     first = home.select(F.col("home").alias("a"), F.col("doc_id").alias("b"))
     edges = cut(probe(first, body, threshold).where("near").select("a", "b"))
     label = cut(connected_components(edges))
     while True:
-        split = cut(_mixed(seats, label))
-        if split.isEmpty():
+        split = None if seats.isEmpty() else cut(_mixed(seats, label))
+        if split is None or split.isEmpty():
             return label
         sizes = cut(split.groupBy("bucket").agg(F.count("*").alias("n")))
-        small = cut(split.join(sizes.where(F.col("n") <= few).select("bucket"), "bucket"))
+        sized = cut(split.join(sizes, "bucket"))
+        small, large = sized.where(F.col("n") <= few), sized.where(F.col("n") > few)
         x, y = (small.select("bucket", *(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "label", "whole", "held", "rest"))) for side in "xy")
         room = F.least("held_x", "held_y") + F.least("rest_x", "rest_y") >= (threshold / (1 + threshold) - 1e-5) * (F.col("whole_x") + F.col("whole_y"))
         pairs = x.join(y, "bucket").where("doc_id_x < doc_id_y AND label_x <> label_y").where(room).select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b"), F.lit(False).alias("star"))
-        large = cut(split.join(sizes.where(F.col("n") > few).select("bucket"), "bucket"))
         led = cut(_led(large, home if home is not None else _homes(large, degree)))
         asked = cut(pairs.union(led.select("a", "b", F.lit(True))).groupBy("a", "b").agg(F.max("star").alias("star")))
         told = probe(asked, body, threshold)
         named = lambda x: label.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))  # noqa: B023, E731
         fresh = told.where("near").select("a", "b").join(named("a"), "a", "left").join(named("b"), "b", "left")
         links = fresh.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).where("a <> b").distinct()
-        merged = cut(connected_components(links))
-        known = label.union(merged.select("node", F.col("node").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
-        label = cut(known.join(merged.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select("node", F.coalesce("root", "component").alias("component")))
+        links = cut(links)
+        if not links.isEmpty():
+            merged = cut(connected_components(links))
+            known = label.union(merged.select("node", F.col("node").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
+            label = cut(known.join(merged.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select("node", F.coalesce("root", "component").alias("component")))
         keys = told.join(led, ["a", "b"]).select("a", F.explode("meets").alias("key"), F.col("b").alias("doc_id"), "whole", "held", "rest")
         keys = keys.select(F.xxhash64("a", "key").alias("bucket"), "doc_id", "whole", "held", F.when(F.col("key") % 2 == 0, F.col("rest")).otherwise(0.0).alias("rest"))
         discard(seats)
-        seats = cut(_once(cut(_roomy(cut(keys), threshold))))
-        discard(split, sizes, small, large, led, asked, told)
+        seats = cut(_roomy(cut(keys), threshold))
+        discard(split, sizes, sized, led, asked, told)
         home, few = None, 2 * few
 
 
-def _crowded(seats: DataFrame) -> DataFrame:
-    """The seats in buckets with more than one member."""
-    sizes = cut(seats.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-    return seats.join(sizes.select("bucket"), "bucket")
-
-
 def _roomy(seats: DataFrame, threshold: float) -> DataFrame:
     """The seats that leave room for a similar member: even the lightest other one must not be too heavy for what both can share."""
     least = cut(seats.groupBy("bucket").agg(F.min("whole").alias("least"), F.count("*").alias("n")).where("n > 1"))
     room = (F.col("held") + F.col("rest")) * ((1 + threshold) / threshold) - F.col("whole") >= F.col("least") * (1 - 1e-4)
-    return _crowded(cut(seats.join(least, "bucket").where(room).drop("least", "n")))
-
-
-def _degrees(seats: DataFrame) -> DataFrame:
-    """doc_id, degree: how many members the document's buckets have together."""
-    sizes = cut(seats.groupBy("bucket").agg(F.count("*").alias("n")))
-    return seats.join(sizes, "bucket").groupBy("doc_id").agg(F.sum("n").alias("degree"))
-
-
-def _once(seats: DataFrame) -> DataFrame:
-    """The seats without the buckets whose members are those of another bucket."""
-    made = cut(seats.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.sum(F.xxhash64("doc_id", F.lit(1)) % 1_000_000_007).alias("y")))
-    return seats.join(cut(made.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")), "bucket")
+    return seats.join(least, "bucket").where(room).drop("least", "n")
 
 
 def _homes(seats: DataFrame, degree: DataFrame) -> DataFrame:
     """doc_id, home: of the other members that lead the document's buckets, the one it meets most. A bucket is led by its member of the highest degree."""
-    ranked = cut(seats.select("bucket", "doc_id").join(degree, "doc_id"))
+    ranked = seats.select("bucket", "doc_id").join(degree, "doc_id")
     leaders = cut(ranked.groupBy("bucket").agg(F.max_by("doc_id", F.struct("degree", -F.col("doc_id"))).alias("a")))
     met = seats.join(leaders, "bucket").where("doc_id <> a").groupBy("doc_id", "a").agg(F.count("*").alias("n"))
     return met.groupBy("doc_id").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("home"))
@@ -408,10 +394,10 @@ def _homes(seats: DataFrame, degree: DataFrame) -> DataFrame:
 
 def _led(seats: DataFrame, home: DataFrame) -> DataFrame:
     """a, b, whole: the members b of buckets under the leader a, the commonest home in a bucket, so that one leader serves the many buckets of a family."""
-    housed = cut(seats.select("bucket", "doc_id", "whole").join(home, "doc_id"))
+    housed = seats.select("bucket", "doc_id").join(home, "doc_id")
     votes = housed.groupBy("bucket", "home").agg(F.count("*").alias("n"))
     leaders = cut(votes.groupBy("bucket").agg(F.max_by("home", F.struct("n", -F.col("home"))).alias("a")))
-    members = cut(seats.select("bucket", F.col("doc_id").alias("b"), "whole"))
+    members = seats.select("bucket", F.col("doc_id").alias("b"), "whole")
     return members.join(leaders, "bucket").where("a <> b").select("a", "b", "whole").distinct()
 
 
