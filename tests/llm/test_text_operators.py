@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from weftlink.llm import bpe, license_scan, minhash_dedup, packing, quality, suffix_dedup, tokens, toxicity
 
@@ -70,6 +71,23 @@ def test_near_duplicates_against_force(spark):
     sizes = Counter(want.values())
     assert all(r.class_size == sizes[r.class_id] and r.kept == (r.doc_id == r.class_id) for r in got.values())
     assert minhash_dedup.near_duplicates(empty(spark)).count() == 0
+    again = spark.createDataFrame([(i, t, "x") for i, t in [*rows, *rows[:40], (None, rows[0][1])]], DOCS)
+    found = [(r.doc_id, r.class_id, r.kept) for r in minhash_dedup.near_duplicates(again.withColumn("class_id", F.lit(3))).collect()]
+    assert len(found) == len(rows) + 41 and {i: c for i, c, _ in found if i is not None} == want
+    assert [(c, k) for i, c, k in found if i is None] == [(want[rows[0][0]], False)]
+
+
+def test_a_family_of_many_near_copies_is_settled_as_by_force(spark):
+    random.seed(8)
+    base = [f"w{n}" for n in range(130)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(random.choice((1, 2, 3, 4))):
+            words[random.randrange(130)] = f"x{random.randint(0, 60)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], DOCS)
+    assert {r.doc_id: r.class_id for r in minhash_dedup.near_duplicates(df, bands=40).collect()} == classes_by_force(rows)
 
 
 def test_weighted_samples_estimate_similarity():

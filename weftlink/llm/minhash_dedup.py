@@ -169,6 +169,8 @@ def _work(rows: list[tuple]):
 
 
 def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
     ids, at = np.unique(bucket[order], return_index=True)
     for b, rows in zip(ids, np.split(order, at[1:]), strict=True):
@@ -420,4 +422,4 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, ban
     discard(sketch)
     marked = cut(keyed.select("doc_id", "key").join(member, "key", "left").select("doc_id", "key", F.coalesce("class", "key").alias("class")))
     sizes = cut(marked.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count_distinct("key").alias("class_size")))
-    return marked.join(sizes, "class").select("doc_id", "class_id", "class_size", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
+    return marked.join(sizes, "class").select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
