@@ -1,0 +1,107 @@
+"""The toxicity models against a plain Kneser-Ney model over dictionaries, and a broadcast table against a joined one."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from weftlink.llm import toxicity
+from weftlink.llm.common import fold_of, ship
+
+N, D, SHARE = toxicity.ORDER, 0.75, 0.02
+
+
+def strings(text):
+    words = (text or "").lower().split()
+    if not words:
+        return []
+    data = b"\2" * (N - 1) + " ".join(words).encode() + b"\3"
+    return [data[i : i + N] for i in range(len(data) - N + 1)]
+
+
+def plain(train):
+    """text -> raw score, by the textbook formula."""
+    tally = {0: Counter(), 1: Counter()}
+    for text, y in train:
+        tally[y].update(strings(text))
+    kinds, follow = {}, {}
+    level = set(tally[0]) | set(tally[1])
+    for n in range(N - 1, 0, -1):
+        seen = Counter(g[1:] for g in level)
+        kinds[n] = seen
+        follow[n] = defaultdict(list)
+        for g, c in seen.items():
+            follow[n][g[:-1]].append(c)
+        level = set(seen)
+
+    def back(g):
+        if not g:
+            return 1 / 256
+        after = follow[len(g)].get(g[:-1])
+        if not after:
+            return back(g[1:])
+        return (max(kinds[len(g)][g] - D, 0) + D * len(after) * back(g[1:])) / sum(after)
+
+    over = {y: defaultdict(list) for y in tally}
+    for y, counted in tally.items():
+        for g, c in counted.items():
+            over[y][g[:-1]].append(c)
+
+    def chance(g, y):
+        after = over[y].get(g[:-1])
+        return (max(tally[y][g] - D, 0) + D * len(after) * back(g[1:])) / sum(after) if after else back(g[1:])
+
+    def raw(text):
+        found = [math.log(1 - SHARE + SHARE * chance(g, 1) / chance(g, 0)) for g in strings(text)]
+        return sum(found) / len(found) if found else 0.0
+
+    return raw
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdeéß", k=rng.randint(1, 6))) for _ in range(60)]
+    rows, labels = [], []
+    for i in range(120):
+        y = int(i % 4 == 0)
+        text = " ".join(rng.choices(words, k=rng.randint(1, 30)) + ["grrmpf"] * (2 * y))
+        rows.append((i, None if i == 7 else "  \n" if i == 8 else text * (400 if i == 9 else 1), "x", 1.0))
+        labels.append((i, y if i % 11 else None))
+    rows += [rows[3], (None, "abc grrmpf", "x", 1.0)]
+    schema = "doc_id long, text string, score string, raw double"
+    return spark.createDataFrame(rows, schema).repartition(5), spark.createDataFrame(labels, "doc_id long, toxic int"), rows, dict(labels)
+
+
+def test_raw_scores_equal_plain_kneser_ney(spark, corpus):
+    import zlib
+
+    docs, labels, rows, classes = corpus
+    ship(spark)
+    known = labels.where("toxic IS NOT NULL").selectExpr("doc_id", "toxic AS y").withColumn("fold", fold_of(labels["doc_id"]))
+    table = toxicity.evidence(toxicity.counts(docs, known))
+    counted = [(t, classes[i]) for i, t, *_ in rows if i is not None and classes[i] is not None and zlib.crc32(str(i).encode()) % 5 in (1, 2, 3)]
+    raw = plain(counted)
+    want = sorted((-1 if i is None else i, raw(t)) for i, t, *_ in rows)
+    for most in (1 << 21, 0):
+        got = sorted((-1 if r.doc_id is None else r.doc_id, r.raw) for r in toxicity.ratios(docs, table, ["doc_id"], most).collect())
+        assert [i for i, _ in got] == [i for i, _ in want]
+        assert [x for _, x in got] == pytest.approx([x for _, x in want], abs=1e-12)
+
+
+def test_scores_of_either_path_are_equal(spark, corpus):
+    docs, labels, rows, _ = corpus
+    ship(spark)
+    one, two = (sorted((r.doc_id or -1, r.score) for r in toxicity.scored(docs, labels, ["doc_id"], most=most).collect()) for most in (1 << 21, 0))
+    assert [i for i, _ in one] == [i for i, _ in two]
+    assert [x for _, x in one] == pytest.approx([x for _, x in two], abs=1e-9)
+    assert len(one) == len(rows) and all(0 <= x <= 1 for _, x in one)
+
+
+def test_without_both_classes_or_rows(spark, corpus):
+    docs, labels, rows, _ = corpus
+    assert {r.score for r in toxicity.score_toxicity(docs, labels.where("toxic = 0")).collect()} == {0.0}
+    assert toxicity.score_toxicity(docs.limit(0), labels).count() == 0
