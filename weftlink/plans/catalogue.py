@@ -59,9 +59,9 @@ def strip_url_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", normalize.strip_url_ending(F.lower("url")).alias("url_stripped"))
 
 
-@query("nonlatin_names", "SELECT doc_id, length(regexp_replace(substr(text, 1, 60), '[\\x{0000}-\\x{024F}]', '', 'g')) > 0.4 * length(substr(text, 1, 60)) AS nonlatin FROM documents")
+@query("nonlatin_names", "SELECT doc_id, length(regexp_replace(text, '[\\x{0000}-\\x{024F}]', '', 'g')) > 0.4 * length(text) AS nonlatin FROM documents")
 def nonlatin_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", normalize.is_nonlatin(F.substring("text", 1, 60)).alias("nonlatin"))
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", normalize.is_nonlatin(F.col("text")).alias("nonlatin"))
 
 
 @query("house_and_numbers", f"{o.prepared('parts')} SELECT entity_id, house_num, array_to_string(list_sort({o.NUMBERS.format(a='addr_norm')}), ' ') AS numbers FROM ent")
@@ -430,11 +430,11 @@ def negative_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "needed_pool",
     f"""{o.prepared('parts')}, {o.TRUTH}, drawn AS (SELECT entity_id, row_number() OVER (PARTITION BY src ORDER BY md5('42|' || entity_id), entity_id) AS place FROM ent WHERE src <> 1)
-SELECT entity_id FROM drawn WHERE place <= 50 UNION SELECT cand_id FROM truth WHERE s1_id IN (SELECT s1_id FROM truth WHERE right(s1_id, 1) = '7')""",
+SELECT entity_id FROM drawn WHERE place <= 50 UNION SELECT cand_id FROM truth""",
 )
 def needed_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = src.entity_view(spark, sf_dir, "parts")
-    return sampling.needed_pool(e.where("src <> 1"), er.truth_pairs(e).where("right(s1_id, 1) = '7'"), 50).select("entity_id")
+    return sampling.needed_pool(e.where("src <> 1"), er.truth_pairs(e), 50).select("entity_id")
 
 
 # --- profiles ---------------------------------------------------------------------------------------------------------

@@ -12,10 +12,10 @@ TRUTH_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("source1
 # Strings that dataframe readers commonly take for missing.
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
-# The same projections run in Spark SQL and in DuckDB.
+# The same projections run in Spark SQL and in DuckDB. A document's first line is its name, all the rest its address.
 ENT_DOCS = """
 SELECT 'S' || CAST(1 + doc_id % 3 AS STRING) || '-' || CAST(doc_id AS STRING) AS entity_id, CAST(1 + doc_id % 3 AS INT) AS src,
-  substring(text, 1, 60) AS business_name, substring(text, 61, 80) AS business_address, lang AS country FROM documents
+  split_part(text, chr(10), 1) AS business_name, substring(text, length(split_part(text, chr(10), 1)) + 2) AS business_address, lang AS country FROM documents
 """
 ENT_PARTS = """
 SELECT 'S' || CAST(1 + p_partkey % 3 AS STRING) || '-' || CAST(p_partkey AS STRING) AS entity_id, CAST(1 + p_partkey % 3 AS INT) AS src,
