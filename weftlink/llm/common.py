@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weftlink.session import cut, ship
 
-__all__ = ["batches_for", "connected_components", "cut", "fold_of", "matrix", "runs_of", "ship", "table", "usable", "usual_length"]
+__all__ = ["batches_for", "connected_components", "cut", "fold_of", "matrix", "release", "runs_of", "ship", "table", "usable", "usual_length"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,16 @@ def matrix(column):
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(n, -1) if n else np.zeros((0, 0))
 
 
+def release() -> None:
+    """Hand freed memory back to the system: a Python worker lives on between groups and stages, and would keep its largest size."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 def runs_of(offsets, size: int = 1 << 20):
     """Consecutive documents (first, last + 1) of about `size` bytes together, at least one each; bounds a worker's scratch memory."""
     import numpy as np

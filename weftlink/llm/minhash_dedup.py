@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import batches_for, connected_components, cut, runs_of, ship
+from weftlink.llm.common import batches_for, connected_components, cut, release, runs_of, ship
 from weftlink.session import arrow_rows, discard
 
 U64 = np.uint64
@@ -221,6 +221,7 @@ def sketches(docs: DataFrame, width: int, threshold: float, bands: int, rows: in
     def count(table):
         import pyarrow as pa
 
+        release()
         to = table.column("to")[0].as_py()
         if to < 0:
             return table.set_column(0, "to", pa.array(np.full(table.num_rows, -1 - to, np.int32)))
@@ -253,6 +254,7 @@ def sketches(docs: DataFrame, width: int, threshold: float, bands: int, rows: in
     def sample(table):
         import pyarrow as pa
 
+        release()
         is_whole = np.array([len(x) > 0 for x in table.column("whole").to_pylist()], bool)
         at_whole, at_shared = table.filter(pa.array(is_whole)), table.filter(pa.array(~is_whole))
         ids, first_row = np.unique(join(at_whole, "ids", np.int64), return_index=True)

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import batches_for, ship
+from weftlink.llm.common import batches_for, release, ship
 
 U64 = np.uint64
 _RANDOM = np.random.default_rng(20240229)
@@ -220,6 +220,7 @@ def remove_repeats(docs: DataFrame, window: int = 200, gram: int = 64, keep: Seq
     bucket_of = lambda lead: np.searchsorted(splitters, lead, side="right")
 
     def ask(table):
+        release()
         data, offsets = bytes_of(table.column("data"))
         lead, h, around, key = [], [], [], []
         for s in slices(data, offsets, window, gram):
@@ -231,6 +232,7 @@ def remove_repeats(docs: DataFrame, window: int = 200, gram: int = 64, keep: Seq
         return _send(bucket_of(lead), (lead, h, around, more), table.column("batch")[0].as_py(), ("lead", "gram", "around", "more"))
 
     def answer(table):
+        release()
         back, lead, h, around, more = _gather(table, (("lead", np.uint64), ("gram", np.uint64), ("around", np.uint64), ("more", np.bool_)))
         order = multikey_order(lead, h, around)
         back, lead, h, around, more = (x[order] for x in (back, lead, h, around, more))
@@ -242,6 +244,7 @@ def remove_repeats(docs: DataFrame, window: int = 200, gram: int = 64, keep: Seq
         return _tell(back, mix(h * U64(3) + around), code.astype(np.uint8))
 
     def ask_windows(docs_table, told):
+        release()
         data, offsets = bytes_of(docs_table.column("data"))
         _, _, settled, lead, key = windows_of(data, offsets, _codes(told), window, gram)
         (lead, key, count), inverse = _runs(lead, key)
@@ -252,6 +255,7 @@ def remove_repeats(docs: DataFrame, window: int = 200, gram: int = 64, keep: Seq
     def answer_windows(table):
         import pyarrow as pa
 
+        release()
         _, key, more = _gather(table, (("gram", np.uint64), ("more", np.bool_)))
         lead = np.concatenate([np.cumsum(np.frombuffer(x, np.uint64), dtype=np.uint64) for x in table.column("lead").to_pylist()])
         order = multikey_order(lead, key)
@@ -268,6 +272,7 @@ def remove_repeats(docs: DataFrame, window: int = 200, gram: int = 64, keep: Seq
     def finish(docs_table, told):
         import pyarrow as pa
 
+        release()
         data, offsets = bytes_of(docs_table.column("data"))
         sure, starts, settled, lead, key = windows_of(data, offsets, _codes(told), window, gram)
         (lead, key, _), inverse = _runs(lead, key)
@@ -276,7 +281,9 @@ def remove_repeats(docs: DataFrame, window: int = 200, gram: int = 64, keep: Seq
         for at in (sure, starts[settled | repeats[inverse]]):
             np.add.at(covered, at, 1)
             np.add.at(covered, at + window, -1)
-        lost = np.cumsum(covered[:-1]) > 0
+        del sure, starts, settled, lead, key, inverse, repeats, at
+        lost = np.cumsum(covered[:-1], dtype=np.int32) > 0
+        del covered
         rows = docs_table.num_rows
         removed, spans, sha, texts = np.zeros(rows, np.int64), np.zeros(rows, np.int64), [], []
         for r in range(rows):
