@@ -320,3 +320,19 @@ def test_bpe_round_trip_equals_the_library(spark):
     assert got == want
     assert again == want
     assert bpe.round_trip(empty(spark), RANKS).count() == 0
+
+
+def test_probes_do_not_move_the_documents_they_are_asked_in(spark, monkeypatch):
+    """The body of all representatives lies by doc_id: a probe's join with the members deals out the asked pairs alone."""
+    from weftlink.llm import minhash_dedup
+    from weftlink.session import cut
+
+    bodies = []
+    probe = minhash_dedup.probe
+    monkeypatch.setattr(minhash_dedup, "probe", lambda pairs, body, threshold: bodies.append(body) or probe(pairs, body, threshold))
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"{text} x{i // 2} {text}") for i in range(8)] + [(9, "alone")], "doc_id long, text string")
+    assert sorted(tuple(r)[:2] for r in minhash_dedup.near_duplicates(docs).collect()) == [*((i, 0) for i in range(8)), (9, 9)]
+    asked = cut(spark.range(4).withColumnRenamed("id", "b"))
+    plan = asked.join(bodies[0].withColumnRenamed("doc_id", "b").hint("merge"), "b")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftlink.llm.common import batches_for, connected_components, cut, release, runs_of, ship
-from weftlink.session import arrow_rows, discard
+from weftlink.session import arrow_rows, cut_by, discard
 
 U64 = np.uint64
 LOW = U64(2**48 - 1)
@@ -332,8 +332,14 @@ def probe(pairs: DataFrame, body: DataFrame, threshold: float) -> DataFrame:
                 meets.append(keys.view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(near, pa.bool_()), pa.array(weights), pa.array(rests), pa.array(meets, pa.list_(pa.int64()))], ["a", "b", "near", "held", "rest", "meets"])
 
+    # `body` lies by doc_id, so the members are joined where they lie. The leaders asked for are taken out of it first: a leader of
+    # a large family is a hot key, and only a join that deals both of its sides anew is split there.
+    leaders = cut(of("a").join(pairs.select("a").distinct(), "a", "left_semi"))
+    members = pairs.select("a", "b").join(of("b"), "b")
     with arrow_rows(body.sparkSession, 256):
-        return cut(pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").mapInArrow(check, "a long, b long, near boolean, held double, rest double, meets array<long>"))
+        told = cut(members.join(leaders, "a").select("a", "b", "of_a", "of_b").mapInArrow(check, "a long, b long, near boolean, held double, rest double, meets array<long>"))
+    discard(leaders)
+    return told
 
 
 def classes(sketch: DataFrame, threshold: float, few: int = 16) -> DataFrame:
@@ -342,7 +348,7 @@ def classes(sketch: DataFrame, threshold: float, few: int = 16) -> DataFrame:
     `few` members or fewer of a group are compared pair by pair; more of them by a leader and the keys that `probe` gives.
     It doubles from round to round, so that rounds are few also where a leader parts a group from little."""
     reps = sketch.groupBy("content", "size").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    body = cut(sketch.join(reps, "doc_id", "left_semi"))
+    body = cut_by(sketch.join(reps, "doc_id", "left_semi"), "doc_id")  # every probe joins it twice, and does not move it
     seats = body.select(F.posexplode("bands").alias("band", "key"), "doc_id", "whole").select(F.xxhash64("band", "key").alias("bucket"), "doc_id", "whole", F.col("whole").alias("held"), F.lit(0.0).alias("rest"))
     sizes = cut(seats.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
     seats = cut(seats.join(sizes, "bucket"))
@@ -355,6 +361,7 @@ def classes(sketch: DataFrame, threshold: float, few: int = 16) -> DataFrame:
     while True:
         split = None if seats.isEmpty() else cut(_mixed(seats, label))
         if split is None or split.isEmpty():
+            discard(body)
             return label
         sizes = cut(split.groupBy("bucket").agg(F.count("*").alias("n")))
         sized = cut(split.join(sizes, "bucket"))
