@@ -109,3 +109,20 @@ def test_urls(spark):
 
     urls = spark.createDataFrame(rows, "page_id long, url string, html string, verdict string").select(F.col("page_id").alias("key"), url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path")).distinct()
     assert {r.key: (r.rule, r.verdict) for r in url_filter.rule_join(urls, rules).collect()} == {k: v for k, v in verdicts.items() if v[0]}
+
+
+def test_vector_duplicates_send_a_point_once_a_region(spark, monkeypatch):
+    """Rows that the comparing tasks get, and no vector in the join that tells each row of its point."""
+    from weftlink.llm import vector_dedup
+
+    seen = []
+    cut = vector_dedup.cut
+    monkeypatch.setattr(vector_dedup, "cut", lambda df: seen.append(cut(df)) or seen[-1])
+    r = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in r.normal(size=16)], 1) for i in range(600)]
+    df = spark.createDataFrame(rows + [(600 + i, rows[i][1], 1) for i in range(600)], "vec_id long, embedding array<float>, label int")
+    got = vector_dedup.near_duplicates(df, cell_rows=8)
+    indexed = next(x for x in seen if "visits" in x.columns)
+    assert indexed.selectExpr("max(size(visits))").first()[0] == 1  # one region holds all 600 points
+    assert "embedding" not in [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line][0]
+    assert {(x.vec_id % 600, x.n_links, x.component_id) for x in got.collect()} == {(i, 1, i) for i in range(600)}
