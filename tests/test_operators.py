@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from weftlink.operators import blocking, features, metrics, model, tfidf
 from weftlink.operators.prepare import preprocess
 from weftlink.plans import er
+from weftlink.session import tidy
 from weftlink.sources import entities as src
 from weftlink.streaming.incremental import match_stream
 
@@ -139,3 +142,20 @@ def test_overlap_counts_pairs_in_blocks_without_shuffling_them(spark, monkeypatc
 
 def rows_of(e):
     return [(r.entity_id, r.src, r.country, r.name_norm) for r in e.collect()]
+
+
+def test_no_stage_outlives_its_query(spark):
+    def slow(batches):
+        time.sleep(4)
+        yield from batches
+
+    tidy(spark)
+    left = spark.range(0, 8, 1, 2).mapInArrow(slow, "id long").groupBy("id").count()
+    none = spark.range(0, 8, 1, 2).where("hash(id) = 0").withColumnRenamed("id", "other").groupBy("other").count()
+    assert left.join(none, left.id == none.other).select("id").collect() == []
+    for _ in range(10):  # the tracker is told a little later
+        active = list(spark.sparkContext.statusTracker().getActiveStageIds())
+        if not active:
+            break
+        time.sleep(0.1)
+    assert active == []
