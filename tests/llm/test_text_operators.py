@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -137,6 +138,59 @@ def test_classifiers_on_held_out_rows(spark, score, column):
     assert score(docs, labels.limit(0)).count() == 403
 
 
+def plain_toxicity(rows, labels):
+    """(doc_id, raw) by a plain model: document frequencies of folds 1 to 3, discounted and backed off."""
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    words = lambda t: [w.strip(toxicity._EDGES) for w in (t or "").lower().split()]
+    tallies = [Counter(w for i, t in rows if labels.get(i) == y and fold(i) in (1, 2, 3) for w in set(words(t))) for y in (0, 1)]
+    sizes = [sum(x.values()) for x in tallies]
+    part = lambda x: math.log(max(x - 0.75, 0) + 1)
+
+    def evidence(w):
+        n = [x[w] for x in tallies]
+        over = [part(n[y]) - part(sum(n) * (sizes[y] / sum(sizes))) for y in (0, 1)]
+        return math.log(0.98 + 0.02 * math.exp(over[1] - over[0])) if sum(n) else 0.0
+
+    return sorted((i, sum(map(evidence, words(t))) / max(len(words(t)), 1)) for i, t in rows)
+
+
+def wordy(spark, texts=60, words=4000):
+    """Long texts of many words, a null and a blank one, rows given twice; labels of most."""
+    r = random.Random(8)
+    rows = [(i, " ".join(f"{'Wort' if r.random() < 0.1 else 'w'}{int(r.paretovariate(0.25)) % 40000}{r.choice(['', '', ',', '.'])}" for _ in range(words))) for i in range(texts)]
+    rows += [(texts, None), (texts + 1, "  "), *rows[:2]]
+    labels = {i: int(i % 3 == 0) for i in range(texts) if i % 7}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).localCheckpoint()
+    return rows, labels, docs, spark.createDataFrame([(i, y) for i, y in labels.items()], "doc_id long, toxic int")
+
+
+def test_toxicity_ratios_equal_a_plain_model(spark):
+    rows, labels, docs, _ = wordy(spark)
+    known = spark.createDataFrame([(i, y) for i, y in labels.items()], "doc_id long, y int").where(toxicity.fold_of(F.col("doc_id")).isin(1, 2, 3))
+    slices = toxicity.cut(toxicity.slices_of(docs, ["doc_id"]))
+    told = toxicity.cut(toxicity.answers(slices, toxicity.evidence(toxicity.counts(slices, known)), 24))
+    assert slices.count() >= 3 and told.count() <= 24 * slices.count()
+    found = sorted((r.doc_id, r.raw) for r in toxicity.ratios(slices, told, ["doc_id"], {"doc_id": "bigint"}).collect())
+    for (i, x), (j, y) in zip(found, plain_toxicity(rows, labels), strict=True):
+        assert i == j and x == pytest.approx(y, abs=1e-12)
+
+
+def shuffled(spark) -> int:
+    """Bytes that this session has shuffled so far."""
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty()
+    executors = context.statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+def test_toxicity_moves_little_more_than_the_texts(spark):
+    rows, _, docs, labels = wordy(spark)
+    before = shuffled(spark)
+    assert toxicity.score_toxicity(docs, labels).count() == len(rows)
+    moved = (shuffled(spark) - before) / sum(len(t or "") for _, t in rows)
+    assert moved < 1.4, moved
+
+
 def test_toxic_words_seen_once_count(spark):
     docs, labels = labelled(spark)
     extra = [(5000 + i, " ".join(f"once{i}x{j}" for j in range(20)), "x") for i in range(40)]
